@@ -62,3 +62,9 @@ def flag_predicate(thresholds: Thresholds = Thresholds()) -> Column:
     return ((F.col("amount") > F.lit(thresholds.max_amount))
             | (F.col("rate") > F.lit(float(thresholds.max_rate)))
             | (F.col("categories") > F.lit(thresholds.max_categories)))
+
+
+def ts_lit(value) -> Column:
+    """A timestamp literal read in the session time zone (no dependence on the
+    Python process's local zone)."""
+    return F.lit(value.isoformat(sep=" ") if hasattr(value, "isoformat") else str(value)).cast("timestamp")

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from botsieve.functions.features import ts_lit
+
 from botsieve.params import BLOCK_TTL_HOURS, BOT_KEY, BOT_VALUE, STORE_TYPES
 
 BOT_SCHEMA = T.StructType([
@@ -54,7 +56,8 @@ def one_row_per_ip(ips: DataFrame) -> DataFrame:
 
 def active(bots: DataFrame, as_of: datetime | None = None,
            ttl_hours: int = BLOCK_TTL_HOURS) -> DataFrame:
-    """K4: entries not yet expired at ``as_of`` (creation time + TTL).
+    """K4: entries that exist and have not expired at ``as_of``:
+    ``as_of - ttl < created_at <= as_of`` (expiry counts from creation).
 
     Expiry is lazy as in a created-expiry cache: expired rows stay in storage
     and are only hidden; ``compact`` drops them for good. ``as_of=None`` means
@@ -63,7 +66,7 @@ def active(bots: DataFrame, as_of: datetime | None = None,
     if as_of is None:
         return bots
     cutoff = as_of - timedelta(hours=ttl_hours)
-    return bots.where(F.col("created_at") > F.lit(cutoff).cast("timestamp"))
+    return bots.where((F.col("created_at") > ts_lit(cutoff)) & (F.col("created_at") <= ts_lit(as_of)))
 
 
 def antijoin_bots(events: DataFrame, bots: DataFrame, broadcast: bool = True) -> DataFrame:
@@ -100,7 +103,7 @@ def new_entries(flagged: DataFrame, current: DataFrame, created_at: datetime | N
         flagged = flagged_ips(flagged)
     ips = one_row_per_ip(flagged.where(F.col(BOT_KEY).isNotNull()))
     listed = active(current, as_of).select(BOT_KEY)
-    stamp = F.lit(created_at).cast("timestamp") if created_at else F.current_timestamp()
+    stamp = ts_lit(created_at) if created_at else F.current_timestamp()
     return (ips.join(listed, BOT_KEY, "left_anti")
             .select(BOT_KEY, BOT_VALUE, stamp.alias("created_at")))
 
@@ -126,6 +129,12 @@ def merge_into(path: str, flagged: DataFrame, created_at: datetime | None = None
         fresh.unpersist()
 
 
+def write_bots(bots: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """K1/K5: write a bot table (flat columns only; see ``store_types``)."""
+    store_types(bots.schema)
+    bots.select(*BOT_SCHEMA.fieldNames()).write.mode(mode).parquet(path)
+
+
 def read_bots(spark: SparkSession, path: str) -> DataFrame:
     """S3: the bot table as a batch DataFrame; an absent table reads as empty."""
     try:

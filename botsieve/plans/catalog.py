@@ -8,6 +8,7 @@ them) and returns a batch DataFrame. Window structs are flattened to
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,13 @@ from pyspark.sql import functions as F
 from botsieve.operators.windows import flatten_window, window_features
 from botsieve.params import DAILY, Thresholds, WindowSpec
 from botsieve.plans import oracle as O
-from botsieve.plans.detect import flagged_windows
-from botsieve.session import pin_utc
-from botsieve.sources.events import clicks_from_events
-from botsieve.sources.tables import table
+from botsieve.operators.blocklist import (active, antijoin_bots, flagged_ips, merge_into, read_bots,
+                                          semijoin_bots, write_bots)
+from botsieve.plans.detect import bots_as_of, flagged_after_lookup, flagged_windows
+from botsieve.session import pin_utc, work_dir
+from botsieve.functions.parse import corrupt_records, decode_value, groom, parse_events
+from botsieve.sources.events import clicks_from_events, event_lines, kafka_records
+from botsieve.sources.tables import as_global_view, as_view, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -93,7 +97,160 @@ def q_distinct_categories(spark, sf_dir):
     return flatten_window(feats.select("window", "ipAddress", "categories"), ntz=True)
 
 
-FLAGSHIP = "flagged_windows"
+# ----------------------------------------------------------------- parsing --
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pin_utc(spark)
+    return event_lines(table(spark, sf_dir, "events"))
+
+
+@register("groom_lines", f"""WITH {O.LINES_CTE}
+SELECT {O.GROOM.format(col='value')} AS json FROM raw""")
+def q_groom_lines(spark, sf_dir):
+    """Backslashes out, greedy ``{...}`` cut (empty string without match)."""
+    return lines(spark, sf_dir).select(groom("value").alias("json"))
+
+
+@register("groom_lines_anchored", f"""WITH {O.LINES_CTE}
+SELECT {O.GROOM_ANCHORED.format(col='value')} AS json FROM raw""")
+def q_groom_lines_anchored(spark, sf_dir):
+    """The anchored array-line pattern; a quoted line gives an empty string."""
+    return lines(spark, sf_dir).select(groom("value", anchored=True).alias("json"))
+
+
+@register("parse_events", O.parsed_sql())
+def q_parse_events(spark, sf_dir):
+    """P5/P7/P8/P9 and the explicit key check: lines -> typed events."""
+    parsed = parse_events(lines(spark, sf_dir))
+    return parsed.withColumn("unixTime", F.col("unixTime").cast("timestamp_ntz"))
+
+
+@register("corrupt_records", f"""WITH {O.LINES_CTE},
+groomed AS (SELECT {O.GROOM.format(col='value')} AS j FROM raw)
+SELECT j AS value FROM groomed WHERE j <> '' AND NOT json_valid(j)""")
+def q_corrupt_records(spark, sf_dir):
+    """Groomed lines the JSON reader rejects."""
+    return corrupt_records(lines(spark, sf_dir))
+
+
+@register("kafka_value_decode", """WITH """ + O.LINES_CTE + """
+SELECT event_id AS "offset", CAST(user_id % 3 AS INTEGER) AS "partition", kafka_value AS value
+FROM raw JOIN lines USING (event_id)""")
+def q_kafka_value_decode(spark, sf_dir):
+    """Kafka records (value bytes) -> value string."""
+    pin_utc(spark)
+    recs = kafka_records(table(spark, sf_dir, "events"))
+    return recs.select("offset", "partition", decode_value("value").alias("value"))
+
+
+@register("parse_events_long", O.parsed_sql("kafka_value", time_type="long"))
+def q_parse_events_long(spark, sf_dir):
+    """P6 + P1: Kafka values parsed with epoch seconds kept as BIGINT."""
+    pin_utc(spark)
+    recs = kafka_records(table(spark, sf_dir, "events"))
+    return parse_events(recs, "value", time_type="long")
+
+
+# -------------------------------------------------------------- block list --
+# The bot table of the batch queries is what a detector run over the events
+# before AS_OF leaves; the queries then run over all events.
+AS_OF = datetime(2024, 1, 15)
+MERGE_TIME = datetime(2024, 2, 1)
+ACTIVE_AS_OF = datetime(2024, 1, 15, 12)
+BOTS_SQL = O.bots_cte(AS_OF.isoformat(sep=" "))
+NTZ_BOT_COLS = ['ipAddress', 'CAST("end" AS TIMESTAMP) AS "end"', "CAST(created_at AS TIMESTAMP) AS created_at"]
+
+
+def bots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bots_as_of(clicks(spark, sf_dir), AS_OF, DAILY, Thresholds())
+
+
+def ntz(df: DataFrame, *cols: str) -> DataFrame:
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+
+
+@register("flagged_ips", f"""WITH {O.EVENTS_CTE},
+{O.flagged_cte('ev', 'flagged')}
+SELECT ipAddress, window_end AS "end" FROM flagged""")
+def q_flagged_ips(spark, sf_dir):
+    """``select("ipAddress", "window.end")`` of the flagged windows."""
+    return ntz(flagged_ips(flagged_windows(clicks(spark, sf_dir), DAILY)), "end")
+
+
+@register("bots_table_scan", f"""WITH {BOTS_SQL}
+SELECT * FROM bots""")
+def q_bots_table_scan(spark, sf_dir):
+    """S3/K1/K5: the bot table written to the shared folder and read back."""
+    path = work_dir(spark, "bots")
+    write_bots(bots(spark, sf_dir), path)
+    return ntz(read_bots(spark, path), "end", "created_at")
+
+
+@register("bots_view_sql", f"""WITH {BOTS_SQL}
+SELECT CAST("end" AS DATE) AS day, count(*) AS bots FROM bots GROUP BY 1""")
+def q_bots_view_sql(spark, sf_dir):
+    """The bot table as temp view ``bots``, queried with SQL."""
+    as_view(bots(spark, sf_dir), "bots")
+    return spark.sql("SELECT CAST(`end` AS DATE) AS day, count(*) AS bots FROM bots GROUP BY 1")
+
+
+@register("events_global_view", f"""WITH {O.EVENTS_CTE}
+SELECT eventType, count(*) AS events, count(DISTINCT ipAddress) AS addresses FROM ev GROUP BY eventType""")
+def q_events_global_view(spark, sf_dir):
+    """Parsed events as global temp view ``events`` (also works on a stream)."""
+    as_global_view(clicks(spark, sf_dir), "events")
+    return spark.sql("SELECT eventType, count(*) AS events, count(DISTINCT ipAddress) AS addresses "
+                     "FROM global_temp.events GROUP BY eventType")
+
+
+@register("antijoin_bots", f"""WITH {O.EVENTS_CTE}, {BOTS_SQL}
+SELECT * FROM ev WHERE NOT EXISTS (SELECT 1 FROM bots WHERE bots.ipAddress = ev.ipAddress)""")
+def q_antijoin_bots(spark, sf_dir):
+    """Events of addresses not on the list (size-checked broadcast)."""
+    return ntz(antijoin_bots(clicks(spark, sf_dir), bots(spark, sf_dir)), "unixTime")
+
+
+@register("bot_lookup_semi", f"""WITH {O.EVENTS_CTE}, {BOTS_SQL}
+SELECT * FROM ev WHERE EXISTS (SELECT 1 FROM bots WHERE bots.ipAddress = ev.ipAddress)""")
+def q_bot_lookup_semi(spark, sf_dir):
+    """Events of listed addresses (the positive key probe)."""
+    return ntz(semijoin_bots(clicks(spark, sf_dir), bots(spark, sf_dir)), "unixTime")
+
+
+@register("flagged_after_lookup", f"""WITH {O.EVENTS_CTE}, {BOTS_SQL},
+kept AS (SELECT * FROM ev WHERE NOT EXISTS (SELECT 1 FROM bots WHERE bots.ipAddress = ev.ipAddress)),
+{O.flagged_cte('kept', 'flagged')}
+SELECT * FROM flagged""")
+def q_flagged_after_lookup(spark, sf_dir):
+    """Q2 (flagship) in batch: lookup, then windows and thresholds."""
+    out = flagged_after_lookup(clicks(spark, sf_dir), bots(spark, sf_dir), DAILY, Thresholds())
+    return flatten_window(out, ntz=True)
+
+
+@register("block_list_merge", f"""WITH {O.EVENTS_CTE}, {BOTS_SQL},
+{O.flagged_cte('ev', 'flagged')},
+fresh AS (SELECT ipAddress, max(window_end) AS "end", TIMESTAMP '{MERGE_TIME.isoformat(sep=' ')}' AS created_at
+          FROM flagged WHERE ipAddress NOT IN (SELECT ipAddress FROM bots) GROUP BY ipAddress)
+SELECT * FROM bots UNION ALL SELECT * FROM fresh""")
+def q_block_list_merge(spark, sf_dir):
+    """K1/K2: put-if-absent of all flagged addresses into the bot table."""
+    path = work_dir(spark, "bots-merge")
+    write_bots(bots(spark, sf_dir), path)
+    merge_into(path, flagged_windows(clicks(spark, sf_dir), DAILY), created_at=MERGE_TIME)
+    return ntz(read_bots(spark, path), "end", "created_at")
+
+
+@register("block_list_active", f"""WITH {BOTS_SQL}
+SELECT * FROM bots
+WHERE created_at > TIMESTAMP '{ACTIVE_AS_OF.isoformat(sep=' ')}' - INTERVAL 24 HOUR
+  AND created_at <= TIMESTAMP '{ACTIVE_AS_OF.isoformat(sep=' ')}'""")
+def q_block_list_active(spark, sf_dir):
+    """K4: entries alive at ACTIVE_AS_OF under the 24 h created-expiry."""
+    return ntz(active(bots(spark, sf_dir), ACTIVE_AS_OF), "end", "created_at")
+
+
+FLAGSHIP = "flagged_after_lookup"
 
 
 def queries() -> dict[str, Query]:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from botsieve.functions.features import ts_lit
 from botsieve.operators.blocklist import active, antijoin_bots, flagged_ips, one_row_per_ip
 from botsieve.operators.windows import flag_windows, window_features
 from botsieve.params import Thresholds, WindowSpec
@@ -33,3 +35,13 @@ def flagged_after_lookup(events: DataFrame, bots: DataFrame, spec: WindowSpec =
     """
     kept = antijoin_bots(events, active(bots, as_of))
     return flagged_windows(kept, spec, thresholds, distinct_mode)
+
+
+def bots_as_of(events: DataFrame, as_of: datetime, spec: WindowSpec = WindowSpec(),
+               thresholds: Thresholds = Thresholds(), distinct_mode: str = "set") -> DataFrame:
+    """The bot table a detector run over the events before ``as_of`` leaves:
+    ``ipAddress, end, created_at`` with ``created_at = end`` (the earliest time
+    the window could be flagged)."""
+    early = events.where(F.col("unixTime") < ts_lit(as_of))
+    return (block_list(early, spec, thresholds, distinct_mode)
+            .withColumn("created_at", F.col("end")))

@@ -7,12 +7,16 @@ column names and types as the Spark query of the same key.
 from __future__ import annotations
 
 # The events table as the detector sees it (see sources/events.py).
-EVENTS_CTE = """ev AS (
+def events_cte(name: str = "ev", where: str = "TRUE") -> str:
+    return f"""{name} AS (
   SELECT ts AS unixTime,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS categoryId,
          CAST(user_id AS VARCHAR) AS ipAddress,
          event_type AS eventType
-  FROM events)"""
+  FROM events WHERE {where})"""
+
+
+EVENTS_CTE = events_cte()
 
 
 def windows_cte(source: str = "ev", slide_minutes: int = 720, panes: int = 2) -> str:
@@ -46,3 +50,69 @@ def features_sql(source_cte: str = EVENTS_CTE, slide_minutes: int = 720, panes:
 
 def flagged_sql(source_cte: str = EVENTS_CTE) -> str:
     return f"{features_sql(source_cte)}\nSELECT * FROM feat WHERE {FLAG_WHERE}"
+
+
+def _printf_object(quote: str = '"') -> str:
+    q = quote
+    return (f"""printf('{{{q}unix_time{q}: %d, {q}category_id{q}: %d, {q}ip{q}: "%s", {q}type{q}: "%s"}}', """
+            "CAST(epoch(date_trunc('second', ts)) AS BIGINT), "
+            "CAST(json_extract_string(props, '$.k') AS INTEGER), CAST(user_id AS VARCHAR), event_type)")
+
+
+# Raw lines rendered from events, shape by event type (sources/events.py).
+LINES_CTE = f"""lines AS (
+  SELECT event_id, ts, user_id, event_type,
+         {_printf_object()} AS plain,
+         {_printf_object('')} AS broken
+  FROM events),
+raw AS (
+  SELECT event_id, event_type,
+         CASE event_type
+           WHEN 'purchase' THEN '"' || replace(plain, '"', '\\"') || '",'
+           WHEN 'signup' THEN '[' || plain || ','
+           WHEN 'error' THEN broken
+           ELSE plain || ',' END AS value,
+         '"' || replace(plain, '"', '\\"') || '"' AS kafka_value
+  FROM lines)"""
+
+GROOM = "regexp_extract(replace({col}, '\\', ''), '(\\{{.*\\}})', 1)"
+GROOM_ANCHORED = "regexp_extract(replace({col}, '\\', ''), '^\\[?(\\{{.*\\}})[\\,\\]]?$', 1)"
+
+
+def parsed_sql(col: str = "value", time_type: str = "timestamp") -> str:
+    """Groomed lines parsed by DuckDB's JSON functions; lines that are not
+    valid JSON or lack time or address are dropped."""
+    unix = "CAST(json_extract(j, '$.unix_time') AS BIGINT)"
+    time = f"make_timestamp({unix} * 1000000)" if time_type == "timestamp" else unix
+    return f"""WITH {LINES_CTE},
+groomed AS (SELECT {GROOM.format(col=col)} AS j FROM raw),
+ok AS (SELECT j FROM groomed WHERE j <> '' AND json_valid(j))
+SELECT {time} AS unixTime,
+       CAST(json_extract(j, '$.category_id') AS INTEGER) AS categoryId,
+       json_extract_string(j, '$.ip') AS ipAddress,
+       json_extract_string(j, '$.type') AS eventType
+FROM ok
+WHERE json_extract(j, '$.unix_time') IS NOT NULL AND json_extract_string(j, '$.ip') IS NOT NULL"""
+
+
+def flagged_cte(source: str, name: str) -> str:
+    """Flagged daily windows of the events in CTE ``source`` as CTE ``name``."""
+    return f"""{name}_wx AS (SELECT *, unnest([0, 1]) AS i FROM {source}),
+{name}_win AS (
+  SELECT time_bucket(INTERVAL '720 minutes', unixTime, TIMESTAMP '1970-01-01')
+           - i * INTERVAL '720 minutes' AS window_start,
+         time_bucket(INTERVAL '720 minutes', unixTime, TIMESTAMP '1970-01-01')
+           - i * INTERVAL '720 minutes' + INTERVAL '1440 minutes' AS window_end,
+         unixTime, categoryId, ipAddress, eventType
+  FROM {name}_wx),
+{name}_feat AS ({FEATURES_SELECT.replace('FROM win', f'FROM {name}_win')}),
+{name} AS (SELECT * FROM {name}_feat WHERE {FLAG_WHERE})"""
+
+
+def bots_cte(as_of: str) -> str:
+    """The bot table built from the events before ``as_of``: one row per
+    flagged address, latest window end, created at that end."""
+    return f"""{events_cte('early', f"ts < TIMESTAMP '{as_of}'")},
+{flagged_cte('early', 'early_flagged')},
+bots AS (SELECT ipAddress, max(window_end) AS "end", max(window_end) AS created_at
+         FROM early_flagged GROUP BY ipAddress)"""
