@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from botsieve.operators import relational as R
 from botsieve.operators.windows import flatten_window, window_features
 from botsieve.params import DAILY, Thresholds, WindowSpec
 from botsieve.plans import oracle as O
@@ -250,6 +251,187 @@ def q_block_list_active(spark, sf_dir):
     return ntz(active(bots(spark, sf_dir), ACTIVE_AS_OF), "end", "created_at")
 
 
+# -------------------------------------------------------------- relational --
+
+def t(spark: SparkSession, sf_dir: str, *names: str):
+    pin_utc(spark)
+    return [table(spark, sf_dir, n) for n in names]
+
+
+@register("table_project", """SELECT l_orderkey, l_linenumber, l_quantity AS qty,
+       l_extendedprice * (1.0 - l_discount) AS revenue, 'USD' AS currency FROM lineitem""")
+def q_table_project(spark, sf_dir):
+    return R.project(*t(spark, sf_dir, "lineitem"))
+
+
+@register("table_filter", """SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_shipdate FROM lineitem
+WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_discount BETWEEN 0.05 AND 0.07 AND l_quantity < 24""")
+def q_table_filter(spark, sf_dir):
+    return R.filter_rows(*t(spark, sf_dir, "lineitem"))
+
+
+@register("table_sort", """SELECT o_orderkey, o_totalprice, o_orderdate FROM orders
+ORDER BY o_totalprice DESC, o_orderkey""")
+def q_table_sort(spark, sf_dir):
+    return R.sort_all(*t(spark, sf_dir, "orders"))
+
+
+@register("table_topk", """SELECT o_orderkey, o_totalprice, o_orderdate FROM orders
+ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""")
+def q_table_topk(spark, sf_dir):
+    return R.top_k(*t(spark, sf_dir, "orders"), k=10)
+
+
+@register("table_union_all", """SELECT c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal, 'customer' AS kind FROM customer
+UNION ALL SELECT s_name, s_nationkey, s_acctbal, 'supplier' FROM supplier
+UNION ALL SELECT n_name, n_nationkey, CAST(NULL AS DOUBLE), 'nation' FROM nation""")
+def q_table_union_all(spark, sf_dir):
+    return R.union_all(*t(spark, sf_dir, "customer", "supplier", "nation"))
+
+
+@register("table_distinct", "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders")
+def q_table_distinct(spark, sf_dir):
+    return R.distinct_rows(*t(spark, sf_dir, "orders"))
+
+
+@register("table_group_agg", """SELECT l_returnflag, l_linestatus,
+       sum(l_quantity) AS sum_qty,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS DECIMAL(38,2)) AS sum_base_price,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(15,2)))) AS DECIMAL(38,4)) AS sum_disc_price,
+       avg(l_quantity) AS avg_qty,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS DOUBLE) / count(*) AS avg_price,
+       min(l_discount) AS min_disc, max(l_discount) AS max_disc,
+       min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship,
+       count(*) AS count_order
+FROM lineitem GROUP BY l_returnflag, l_linestatus""")
+def q_table_group_agg(spark, sf_dir):
+    return R.group_agg(*t(spark, sf_dir, "lineitem"))
+
+
+@register("table_nested_agg", """WITH per_cust AS (
+  SELECT c_custkey, count(o_orderkey) AS c_count FROM customer LEFT JOIN orders ON c_custkey = o_custkey
+  GROUP BY c_custkey)
+SELECT c_count, count(*) AS custdist FROM per_cust GROUP BY c_count""")
+def q_table_nested_agg(spark, sf_dir):
+    return R.nested_agg(*t(spark, sf_dir, "customer", "orders"))
+
+
+@register("table_having", """SELECT l_orderkey, sum(l_quantity) AS total_qty, count(*) AS lines
+FROM lineitem GROUP BY l_orderkey HAVING sum(l_quantity) > 150""")
+def q_table_having(spark, sf_dir):
+    return R.having(*t(spark, sf_dir, "lineitem"), min_qty=150.0)
+
+
+@register("table_count_distinct", """SELECT l_returnflag, count(*) AS n_lines,
+       count(DISTINCT l_orderkey) AS n_orders, count(DISTINCT l_partkey) AS n_parts
+FROM lineitem GROUP BY l_returnflag""")
+def q_table_count_distinct(spark, sf_dir):
+    return R.count_distinct(*t(spark, sf_dir, "lineitem"))
+
+
+@register("join_inner", """SELECT o_orderkey, o_totalprice, c_name, c_mktsegment
+FROM orders JOIN customer ON o_custkey = c_custkey""")
+def q_join_inner(spark, sf_dir):
+    return R.join_inner(*t(spark, sf_dir, "orders", "customer"))
+
+
+@register("join_left", """SELECT c_custkey, c_name, o_orderkey, o_orderstatus
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey""")
+def q_join_left(spark, sf_dir):
+    return R.join_left(*t(spark, sf_dir, "customer", "orders"))
+
+
+@register("join_right", """SELECT c_custkey, o_orderkey, o_orderstatus
+FROM orders RIGHT JOIN customer ON o_custkey = c_custkey""")
+def q_join_right(spark, sf_dir):
+    return R.join_right(*t(spark, sf_dir, "orders", "customer"))
+
+
+@register("join_full", """WITH qty AS (SELECT l_partkey, sum(l_quantity) AS shipped_qty FROM lineitem GROUP BY l_partkey)
+SELECT p_partkey, l_partkey, p_name, shipped_qty FROM part FULL OUTER JOIN qty ON p_partkey = l_partkey""")
+def q_join_full(spark, sf_dir):
+    return R.join_full(*t(spark, sf_dir, "part", "lineitem"))
+
+
+@register("join_semi", """SELECT c_custkey, c_name FROM customer
+WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)""")
+def q_join_semi(spark, sf_dir):
+    return R.join_semi(*t(spark, sf_dir, "customer", "orders"))
+
+
+@register("join_anti", """SELECT c_custkey, c_name FROM customer
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)""")
+def q_join_anti(spark, sf_dir):
+    return R.join_anti(*t(spark, sf_dir, "customer", "orders"))
+
+
+@register("join_self", """SELECT a.o_orderkey, b.o_orderkey AS next_orderkey, b.o_totalprice - a.o_totalprice AS price_change
+FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1""")
+def q_join_self(spark, sf_dir):
+    return R.join_self(*t(spark, sf_dir, "orders"))
+
+
+@register("join_derived", """WITH revenue AS (
+  SELECT l_orderkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(15,2)))) AS DECIMAL(38,4)) AS revenue
+  FROM lineitem GROUP BY l_orderkey),
+recent AS (
+  SELECT o_orderkey, o_orderdate, o_orderpriority FROM orders
+  WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1999-01-01')
+SELECT o_orderkey, o_orderdate, o_orderpriority, revenue FROM recent JOIN revenue ON o_orderkey = l_orderkey""")
+def q_join_derived(spark, sf_dir):
+    return R.join_derived(*t(spark, sf_dir, "lineitem", "orders"))
+
+
+@register("join_nested_names", """SELECT sn.n_name AS supp_nation, cn.n_name AS cust_nation,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(15,2)))) AS DECIMAL(38,4)) AS revenue,
+       count(*) AS lines
+FROM lineitem
+JOIN supplier ON l_suppkey = s_suppkey JOIN nation sn ON s_nationkey = sn.n_nationkey
+JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+JOIN nation cn ON c_nationkey = cn.n_nationkey
+GROUP BY sn.n_name, cn.n_name""")
+def q_join_nested_names(spark, sf_dir):
+    return R.join_nested_names(*t(spark, sf_dir, "lineitem", "orders", "customer", "supplier", "nation"))
+
+
+@register("expr_null_handling", """WITH per_cust AS (
+  SELECT c_custkey, c_mktsegment, count(o_orderkey) AS c_count
+  FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_mktsegment)
+SELECT c_custkey, nullif(c_count, 0) AS orders_or_null,
+       coalesce(nullif(c_mktsegment, 'BUILDING'), 'OTHER') AS segment FROM per_cust""")
+def q_expr_null_handling(spark, sf_dir):
+    return R.null_handling(*t(spark, sf_dir, "customer", "orders"))
+
+
+@register("expr_conditions", """SELECT p_partkey, p_name LIKE '%red%' AS is_red, p_size IN (1, 5, 10) AS small_size,
+       (p_retailprice > 1000 AND NOT p_brand = 'Brand#1') AS pricey, p_type IS NULL AS no_type,
+       CASE WHEN p_size < 10 THEN 'S' WHEN p_size < 30 THEN 'M' ELSE 'L' END AS size_band
+FROM part WHERE p_size BETWEEN 1 AND 40 OR p_name LIKE 'blue%'""")
+def q_expr_conditions(spark, sf_dir):
+    return R.conditions(*t(spark, sf_dir, "part"))
+
+
+@register("expr_dates", """SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y,
+       CAST(month(o_orderdate) AS INTEGER) AS m, CAST(day(o_orderdate) AS INTEGER) AS d,
+       CAST(o_orderdate AS DATE) + 30 AS due FROM orders""")
+def q_expr_dates(spark, sf_dir):
+    return R.dates(*t(spark, sf_dir, "orders"))
+
+
+@register("expr_math", """SELECT l_orderkey, l_linenumber, abs(l_discount - 0.05) AS disc_gap,
+       CAST(ceil(l_extendedprice) AS BIGINT) AS price_ceil, CAST(floor(l_extendedprice) AS BIGINT) AS price_floor,
+       round(l_extendedprice) AS price_round, sqrt(l_quantity) AS qty_sqrt FROM lineitem""")
+def q_expr_math(spark, sf_dir):
+    return R.math(*t(spark, sf_dir, "lineitem"))
+
+
+@register("expr_strings", """SELECT c_custkey, lower(c_name) AS lower_name, upper(c_mktsegment) AS upper_segment,
+       CAST(length(c_name) AS INTEGER) AS name_len, substring(c_name, 10, 9) AS name_digits,
+       c_name || '-' || c_mktsegment AS label, trim('  ' || c_mktsegment || '  ') AS trimmed FROM customer""")
+def q_expr_strings(spark, sf_dir):
+    return R.strings(*t(spark, sf_dir, "customer"))
+
+
 FLAGSHIP = "flagged_after_lookup"
 
 
