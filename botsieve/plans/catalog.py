@@ -24,6 +24,7 @@ from botsieve.session import pin_utc, work_dir
 from botsieve.functions.parse import corrupt_records, decode_value, groom, parse_events
 from botsieve.sources.events import clicks_from_events, event_lines, kafka_records
 from botsieve.sources.tables import as_global_view, as_view, table
+from botsieve.streaming.rounds import stream_antijoin, stream_block_list, stream_flagged_windows, stream_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -432,6 +433,47 @@ def q_expr_strings(spark, sf_dir):
     return R.strings(*t(spark, sf_dir, "customer"))
 
 
+# --------------------------------------------------------------- streaming --
+
+@register("stream_text_source", f"""WITH {O.LINES_CTE}
+SELECT value FROM raw""")
+def q_stream_text_source(spark, sf_dir):
+    """Raw lines through ``readStream.text`` into a parquet sink."""
+    pin_utc(spark)
+    return stream_text(spark, table(spark, sf_dir, "events"))
+
+
+@register("stream_flagged_windows", O.flagged_sql())
+def q_stream_flagged_windows(spark, sf_dir):
+    """Q1 streaming: 5-day rounds, update mode, last value per key, then F1.
+    Same rows as ``flagged_windows``."""
+    pin_utc(spark)
+    out = stream_flagged_windows(spark, table(spark, sf_dir, "events"), DAILY, Thresholds())
+    return flatten_window(out, ntz=True)
+
+
+@register("stream_antijoin_bots", f"""WITH {O.EVENTS_CTE}, {BOTS_SQL}
+SELECT date_trunc('second', unixTime) AS unixTime, categoryId, ipAddress, eventType FROM ev
+WHERE NOT EXISTS (SELECT 1 FROM bots WHERE bots.ipAddress = ev.ipAddress)""")
+def q_stream_antijoin_bots(spark, sf_dir):
+    """J1 on a stream: parsed lines minus the bot table (stream-static anti join)."""
+    pin_utc(spark)
+    out = stream_antijoin(spark, table(spark, sf_dir, "events"), bots(spark, sf_dir))
+    return ntz(out, "unixTime")
+
+
+@register("stream_block_list")
+def q_stream_block_list(spark, sf_dir):
+    """Q2 flagship as a stream: the self-feeding block list over 5-day rounds.
+
+    Iterative (each round reads what the earlier rounds wrote), so no SQL
+    oracle; tests compare it with a plain re-computation of the rounds.
+    """
+    pin_utc(spark)
+    out = stream_block_list(spark, table(spark, sf_dir, "events"), DAILY, Thresholds())
+    return ntz(out, "end", "created_at")
+
+
 FLAGSHIP = "flagged_after_lookup"
 
 
