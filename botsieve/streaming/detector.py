@@ -101,10 +101,12 @@ def last_values(updates: DataFrame, key: list[str]) -> DataFrame:
 
 
 def block_list_sink(bots_path: str, created_at: datetime | None = None,
-                    as_of: datetime | None = None) -> Callable[[DataFrame, int], None]:
+                    as_of: datetime | None = None, observer=None) -> Callable[[DataFrame, int], None]:
     """W6 + K1: each batch of flagged windows merged into the bot table,
     put-if-absent, one row per address with the latest window end of the batch."""
     def sink(batch: DataFrame, batch_id: int) -> None:
+        if observer is not None:
+            observer(batch)
         merge_into(bots_path, batch, created_at=created_at, as_of=as_of)
     return sink
 

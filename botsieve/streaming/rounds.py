@@ -24,7 +24,11 @@ from botsieve.streaming.detector import (block_list_sink, bots_fresh, detect, la
 EPOCH = datetime(1970, 1, 1)
 
 
-def round_starts(events: DataFrame, round_days: int) -> list[datetime]:
+def _step(round_days: float | timedelta) -> timedelta:
+    return round_days if isinstance(round_days, timedelta) else timedelta(days=round_days)
+
+
+def round_starts(events: DataFrame, round_days: float | timedelta) -> list[datetime]:
     """Epoch-aligned slice starts covering the table's time range (one
     aggregate row comes back to the driver)."""
     row = events.agg(F.min(F.col("ts").cast("timestamp")).alias("lo"),
@@ -32,7 +36,7 @@ def round_starts(events: DataFrame, round_days: int) -> list[datetime]:
     if row["lo"] is None:
         return []
     lo, hi = row["lo"].replace(tzinfo=None), row["hi"].replace(tzinfo=None)
-    step = timedelta(days=round_days)
+    step = _step(round_days)
     first = EPOCH + step * ((lo - EPOCH) // step)
     starts, s = [], first
     while s <= hi:
@@ -51,14 +55,14 @@ def feed_slice(events: DataFrame, feed: str, start: datetime, end: datetime, sha
 
 
 def stream_flagged_windows(spark: SparkSession, events: DataFrame, spec: WindowSpec,
-                           thresholds: Thresholds = Thresholds(), round_days: int = 5,
+                           thresholds: Thresholds = Thresholds(), round_days: float | timedelta = 5,
                            root: str | None = None) -> DataFrame:
     """Q1 as a stream: update-mode window aggregates, last value per window
     and address, then the threshold filter. For input in event-time order
     this equals the batch result."""
     root = root or work_dir(spark, "stream-windows")
     feed, ckpt, updates = f"{root}/feed", f"{root}/checkpoint", f"{root}/updates"
-    step = timedelta(days=round_days)
+    step = _step(round_days)
     for start in round_starts(events, round_days):
         feed_slice(events, feed, start, start + step, shaped=False)
         stream = detect(text_stream(spark, feed), spec, thresholds=None)
@@ -68,23 +72,26 @@ def stream_flagged_windows(spark: SparkSession, events: DataFrame, spec: WindowS
 
 
 def stream_block_list(spark: SparkSession, events: DataFrame, spec: WindowSpec,
-                      thresholds: Thresholds = Thresholds(), round_days: int = 5,
-                      root: str | None = None) -> DataFrame:
+                      thresholds: Thresholds = Thresholds(), round_days: float | timedelta = 5,
+                      root: str | None = None, observer=None) -> DataFrame:
     """Q2 (flagship) as a stream: the self-feeding block list.
 
     Each round: lines -> parse -> anti join with the bot table as it is now
     -> watermark -> windows -> threshold filter -> foreachBatch put-if-absent
     into the bot table. Addresses listed in a round lose their later events
     from the next round on. ``created_at`` of an entry is the end of its round.
-    Returns the bot table.
+    ``observer(round_index, batch_df)`` (optional) sees each batch of flagged
+    windows before the merge. Returns the bot table.
     """
     root = root or work_dir(spark, "stream-bots")
     feed, ckpt, bots_path = f"{root}/feed", f"{root}/checkpoint", f"{root}/bots"
-    step = timedelta(days=round_days)
-    for start in round_starts(events, round_days):
+    step = _step(round_days)
+    for i, start in enumerate(round_starts(events, round_days)):
         feed_slice(events, feed, start, start + step, shaped=False)
         stream = detect(text_stream(spark, feed), spec, thresholds, bots=bots_fresh(spark, bots_path))
-        run_available_now(stream, ckpt, "update", batch_fn=block_list_sink(bots_path, created_at=start + step))
+        watch = (lambda df, i=i: observer(i, df)) if observer else None
+        run_available_now(stream, ckpt, "update",
+                          batch_fn=block_list_sink(bots_path, created_at=start + step, observer=watch))
     return read_bots(spark, bots_path)
 
 

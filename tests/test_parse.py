@@ -1,0 +1,75 @@
+"""Parsing goldens (FIXTURES section 3)."""
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from botsieve.functions.parse import corrupt_records, groom, parse_events
+
+FIRST = '[{"unix_time": 1538076151, "category_id": 1009, "ip": "172.10.2.42", "type": "view"},'
+SECOND_QUOTED = '"{\\"unix_time\\": 1538076151, \\"category_id\\": 1004, \\"ip\\": \\"172.10.1.139\\", \\"type\\": \\"click\\"},"'
+
+
+def lines(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "value string")
+
+
+def parsed(spark, *values, require_keys=True, time_type="timestamp"):
+    df = parse_events(lines(spark, *values), require_keys=require_keys, time_type=time_type)
+    if time_type == "timestamp":
+        df = df.withColumn("unixTime", F.col("unixTime").cast("timestamp_ntz"))
+    return [tuple(r) for r in df.collect()]
+
+
+def test_samples_parse(spark):
+    assert parsed(spark, FIRST) == [(datetime(2018, 9, 27, 19, 22, 31), 1009, "172.10.2.42", "view")]
+    assert parsed(spark, SECOND_QUOTED) == [(datetime(2018, 9, 27, 19, 22, 31), 1004, "172.10.1.139", "click")]
+
+
+def test_lines_without_object_are_dropped(spark):
+    assert parsed(spark, "]", "", "garbage", require_keys=False) == []
+
+
+def test_partial_rows_stay(spark):
+    bad_cat = '{"unix_time": 1, "category_id": "x", "ip": "a", "type": "view"}'
+    no_cat = '{"unix_time": 1, "ip": "a", "type": "view"}'
+    expect = (datetime(1970, 1, 1, 0, 0, 1), None, "a", "view")
+    assert parsed(spark, bad_cat, no_cat) == [expect, expect]
+
+
+def test_struct_of_nulls_needs_explicit_check(spark):
+    # na.drop() on the struct keeps them ...
+    kept = parsed(spark, "{bad json}", "{}", require_keys=False)
+    assert kept == [(None, None, None, None), (None, None, None, None)]
+    # ... the key check removes them
+    assert parsed(spark, "{bad json}", "{}") == []
+
+
+def test_two_objects_on_a_line_keep_the_first(spark):
+    line = '{"unix_time": 1, "category_id": 2, "ip": "a", "type": "view"}, {"unix_time": 5, "ip": "b"}'
+    assert parsed(spark, line) == [(datetime(1970, 1, 1, 0, 0, 1), 2, "a", "view")]
+
+
+def test_non_integer_epochs_give_null_time(spark):
+    frac = '{"unix_time": 1.5, "category_id": 1, "ip": "a", "type": "view"}'
+    text = '{"unix_time": "1538076151", "category_id": 1, "ip": "a", "type": "view"}'
+    assert parsed(spark, frac, text, require_keys=False) == [(None, 1, "a", "view")] * 2
+    assert parsed(spark, frac, text) == []
+    assert parsed(spark, frac, text, require_keys=False, time_type="long") == [(None, 1, "a", "view")] * 2
+
+
+def test_long_form(spark):
+    assert parsed(spark, FIRST, time_type="long") == [(1538076151, 1009, "172.10.2.42", "view")]
+
+
+def test_anchored_pattern(spark):
+    df = lines(spark, '[{"a":1},', '{"a":1}]', '"{"a":1},"')
+    got = [r[0] for r in df.select(groom("value", anchored=True)).collect()]
+    assert got == ['{"a":1}', '{"a":1}', ""]
+    got = [r[0] for r in df.select(groom("value")).collect()]
+    assert got == ['{"a":1}', '{"a":1}', '{"a":1}']
+
+
+def test_corrupt_records(spark):
+    df = lines(spark, FIRST, "{bad json}", "garbage", SECOND_QUOTED)
+    assert [r[0] for r in corrupt_records(df).collect()] == ["{bad json}"]
