@@ -51,6 +51,17 @@ def groom(col: Column | str = "value", anchored: bool = False) -> Column:
     return cut_object(strip_backslashes(decode_value(col)), pattern)
 
 
+def parsed_once(lines: DataFrame, parsed: Column, name: str) -> DataFrame:
+    """``parsed`` as a column ``name`` that is computed once per row.
+
+    Filters on a projected ``from_json`` are pushed below the projection and
+    each reference re-parses the line (four parses a row for the null checks
+    here). A one-element ``explode`` makes the struct a generated column: the
+    filters and field accesses above it read the column instead.
+    """
+    return lines.select(F.explode(F.array(parsed)).alias(name))
+
+
 def parse_events(lines: DataFrame, value_col: str = "value", time_type: str = "timestamp",
                  anchored: bool = False, require_keys: bool = True) -> DataFrame:
     """Raw lines -> ``unixTime, categoryId, ipAddress, eventType``.
@@ -61,8 +72,7 @@ def parse_events(lines: DataFrame, value_col: str = "value", time_type: str = "t
     null time is in no window and a null address must not form a group. A
     missing or non-integer ``category_id`` only nulls that field.
     """
-    parsed = (lines
-              .select(F.from_json(groom(value_col, anchored), event_schema(time_type)).alias("event"))
+    parsed = (parsed_once(lines, F.from_json(groom(value_col, anchored), event_schema(time_type)), "event")
               .na.drop()
               .select("event.*")
               .toDF(*EVENT_COLUMNS))
@@ -87,10 +97,9 @@ def corrupt_records(lines: DataFrame, value_col: str = "value",
     """
     schema = event_schema(time_type, corrupt_column=CORRUPT_COLUMN)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
-    groomed = lines.select(groom(value_col).alias("json"))
-    return (groomed
-            .where(F.col("json") != "")
-            .select(F.from_json("json", schema, options)[CORRUPT_COLUMN].alias("value"))
+    groomed = lines.select(groom(value_col).alias("json")).where(F.col("json") != "")
+    return (parsed_once(groomed, F.from_json("json", schema, options), "record")
+            .select(F.col(f"record.{CORRUPT_COLUMN}").alias("value"))
             .where(F.col("value").isNotNull()))
 
 

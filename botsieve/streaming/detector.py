@@ -66,13 +66,32 @@ def detect(lines: DataFrame, spec: WindowSpec = WindowSpec(), thresholds: Thresh
     return feats
 
 
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
 def run_available_now(df: DataFrame, checkpoint: str, output_mode: str = "update",
                       batch_fn: Callable[[DataFrame, int], None] | None = None,
-                      path: str | None = None, fmt: str = "parquet", query_name: str | None = None) -> None:
+                      path: str | None = None, fmt: str = "parquet", query_name: str | None = None,
+                      no_data_batches: bool | None = None) -> None:
     """Start, process everything available, stop (W5, W6, W10 with ``availableNow``).
 
     Either ``batch_fn`` (``foreachBatch``) or a file sink at ``path``.
+    ``no_data_batches=False`` skips the extra batch that only moves the
+    watermark: in update mode it emits nothing, and the next data batch
+    evicts the old state anyway. The setting is taken when the query starts.
     """
+    spark = df.sparkSession
+    previous = spark.conf.get(NO_DATA_BATCHES)
+    if no_data_batches is None:
+        no_data_batches = output_mode != "update"
+    spark.conf.set(NO_DATA_BATCHES, str(no_data_batches).lower())
+    try:
+        _start_and_wait(df, checkpoint, output_mode, batch_fn, path, fmt, query_name)
+    finally:
+        spark.conf.set(NO_DATA_BATCHES, previous)
+
+
+def _start_and_wait(df, checkpoint, output_mode, batch_fn, path, fmt, query_name) -> None:
     writer = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
