@@ -76,14 +76,16 @@ def run_available_now(df: DataFrame, checkpoint: str, output_mode: str = "update
     """Start, process everything available, stop (W5, W6, W10 with ``availableNow``).
 
     Either ``batch_fn`` (``foreachBatch``) or a file sink at ``path``.
-    ``no_data_batches=False`` skips the extra batch that only moves the
-    watermark: in update mode it emits nothing, and the next data batch
-    evicts the old state anyway. The setting is taken when the query starts.
+    ``no_data_batches`` (default: the session setting) controls the batch that
+    only moves the watermark. Keep it on where late data matters: since Spark
+    3.4 late rows are filtered with the previous batch's watermark, so without
+    that batch a late row still reaches a window that is already closed.
     """
     spark = df.sparkSession
-    previous = spark.conf.get(NO_DATA_BATCHES)
     if no_data_batches is None:
-        no_data_batches = output_mode != "update"
+        _start_and_wait(df, checkpoint, output_mode, batch_fn, path, fmt, query_name)
+        return
+    previous = spark.conf.get(NO_DATA_BATCHES)
     spark.conf.set(NO_DATA_BATCHES, str(no_data_batches).lower())
     try:
         _start_and_wait(df, checkpoint, output_mode, batch_fn, path, fmt, query_name)
