@@ -52,7 +52,7 @@ def distinct_categories(category_col: str = CATEGORY, mode: str = "set") -> Colu
     return value.alias("categories")
 
 
-def window_aggregates(distinct_mode: str = "set") -> list[Column]:
+def window_aggregates(distinct_mode: str = "exact") -> list[Column]:
     """The aggregate list of the detector: amount, rate, categories."""
     return [amount(), click_view_rate(), distinct_categories(mode=distinct_mode)]
 

@@ -75,9 +75,10 @@ def antijoin_bots(events: DataFrame, bots: DataFrame, broadcast: bool = True) ->
     An event with a null address never matches and stays. The list is keyed
     and small next to the event stream, so it is broadcast when its size is
     within the checked bound (the replicated table of the original); beyond it
-    the anti join shuffles both sides on the address.
+    the anti join shuffles both sides on the address. No ``distinct`` on the
+    list: duplicate keys on the build side do not change a semi or anti join.
     """
-    side = bots.select(F.col(BOT_KEY).alias("cachedIp")).distinct()
+    side = bots.select(F.col(BOT_KEY).alias("cachedIp"))
     if broadcast:
         side = broadcast_if_small(side)
     return events.join(side, events[BOT_KEY] == side["cachedIp"], "left_anti")
@@ -85,7 +86,7 @@ def antijoin_bots(events: DataFrame, bots: DataFrame, broadcast: bool = True) ->
 
 def semijoin_bots(events: DataFrame, bots: DataFrame, broadcast: bool = True) -> DataFrame:
     """Events whose address is on the list (the positive cache probe)."""
-    side = bots.select(F.col(BOT_KEY).alias("cachedIp")).distinct()
+    side = bots.select(F.col(BOT_KEY).alias("cachedIp"))
     if broadcast:
         side = broadcast_if_small(side)
     return events.join(side, events[BOT_KEY] == side["cachedIp"], "left_semi")

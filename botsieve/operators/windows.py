@@ -10,7 +10,7 @@ from botsieve.params import Thresholds, WindowSpec
 
 
 def window_features(events: DataFrame, spec: WindowSpec = WindowSpec(),
-                    distinct_mode: str = "set", watermark: bool | None = None) -> DataFrame:
+                    distinct_mode: str = "auto", watermark: bool | None = None) -> DataFrame:
     """``groupBy(window(unixTime, duration, slide), ipAddress)`` -> amount, rate, categories.
 
     Works on batch and streaming input alike. A streaming input gets the
@@ -19,7 +19,13 @@ def window_features(events: DataFrame, spec: WindowSpec = WindowSpec(),
     and aggregates partially before the shuffle on (window, address), so what
     crosses the network is one partial row per group and task, even for an
     address that sends a third of all events.
+
+    ``distinct_mode="auto"``: ``count(DISTINCT)`` in batch (codegen'd, and its
+    first shuffle on (window, address, category) spreads a hot address), the
+    ``collect_set`` form on streams, where distinct aggregates are not allowed.
     """
+    if distinct_mode == "auto":
+        distinct_mode = "set" if events.isStreaming else "exact"
     if watermark is None:
         watermark = events.isStreaming
     if watermark:

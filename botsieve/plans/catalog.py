@@ -164,7 +164,11 @@ NTZ_BOT_COLS = ['ipAddress', 'CAST("end" AS TIMESTAMP) AS "end"', "CAST(created_
 
 
 def bots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bots_as_of(clicks(spark, sf_dir), AS_OF, DAILY, Thresholds())
+    """The bot table as a stored table: derived once, written to the shared
+    folder, read back (so the size check and the join scan it, not re-derive it)."""
+    path = work_dir(spark, "bots")
+    write_bots(bots_as_of(clicks(spark, sf_dir), AS_OF, DAILY, Thresholds()), path)
+    return read_bots(spark, path)
 
 
 def ntz(df: DataFrame, *cols: str) -> DataFrame:
@@ -184,9 +188,7 @@ def q_flagged_ips(spark, sf_dir):
 SELECT * FROM bots""")
 def q_bots_table_scan(spark, sf_dir):
     """S3/K1/K5: the bot table written to the shared folder and read back."""
-    path = work_dir(spark, "bots")
-    write_bots(bots(spark, sf_dir), path)
-    return ntz(read_bots(spark, path), "end", "created_at")
+    return ntz(bots(spark, sf_dir), "end", "created_at")
 
 
 @register("bots_view_sql", f"""WITH {BOTS_SQL}

@@ -14,20 +14,20 @@ from botsieve.params import Thresholds, WindowSpec
 
 
 def flagged_windows(events: DataFrame, spec: WindowSpec = WindowSpec(),
-                    thresholds: Thresholds = Thresholds(), distinct_mode: str = "set") -> DataFrame:
+                    thresholds: Thresholds = Thresholds(), distinct_mode: str = "auto") -> DataFrame:
     """Q1: windows per address that cross a threshold (``window, ipAddress, amount, rate, categories``)."""
     return flag_windows(window_features(events, spec, distinct_mode), thresholds)
 
 
 def block_list(events: DataFrame, spec: WindowSpec = WindowSpec(),
-               thresholds: Thresholds = Thresholds(), distinct_mode: str = "set") -> DataFrame:
+               thresholds: Thresholds = Thresholds(), distinct_mode: str = "auto") -> DataFrame:
     """Addresses flagged in ``events``, one row each with the latest window end."""
     return one_row_per_ip(flagged_ips(flagged_windows(events, spec, thresholds, distinct_mode)))
 
 
 def flagged_after_lookup(events: DataFrame, bots: DataFrame, spec: WindowSpec = WindowSpec(),
                          thresholds: Thresholds = Thresholds(), as_of: datetime | None = None,
-                         distinct_mode: str = "set") -> DataFrame:
+                         distinct_mode: str = "auto") -> DataFrame:
     """Q2/Q3: drop events of listed addresses first, then window and flag.
 
     The lookup runs before the aggregation, as in the streaming job: events of a
@@ -38,7 +38,7 @@ def flagged_after_lookup(events: DataFrame, bots: DataFrame, spec: WindowSpec =
 
 
 def bots_as_of(events: DataFrame, as_of: datetime, spec: WindowSpec = WindowSpec(),
-               thresholds: Thresholds = Thresholds(), distinct_mode: str = "set") -> DataFrame:
+               thresholds: Thresholds = Thresholds(), distinct_mode: str = "auto") -> DataFrame:
     """The bot table a detector run over the events before ``as_of`` leaves:
     ``ipAddress, end, created_at`` with ``created_at = end`` (the earliest time
     the window could be flagged)."""
