@@ -59,16 +59,24 @@ def shared_root(spark: SparkSession) -> str:
     and registered as the checkpoint dir.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    context = None
+    try:
+        context = spark.sparkContext
+    except Exception:  # a Spark Connect session has no context
+        pass
+    if not root and context is not None:
+        root = context.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="botsieve-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+        root = _LOCAL_ROOTS.get(id(spark)) or tempfile.mkdtemp(prefix="botsieve-ckpt-")
+        _LOCAL_ROOTS[id(spark)] = root
+    if context is not None and not context.getCheckpointDir():
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+_LOCAL_ROOTS: dict[int, str] = {}
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new, unique sub folder of the shared root for one job run."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -173,3 +173,19 @@ def test_null_address_stays_in_anti_join(spark):
     events = spark.createDataFrame([("a",), (None,), ("b",)], "ipAddress string")
     bots = spark.createDataFrame([("a",)], "ipAddress string")
     assert sorted(r[0] or "" for r in antijoin_bots(events, bots).collect()) == ["", "b"]
+
+
+def test_detector_job_ticks(spark, scratch):
+    from botsieve.operators.blocklist import read_bots
+    from botsieve.plans.jobs import DetectorJob
+    src = f"{scratch}/src"
+    count_over_2 = Thresholds(max_amount=2, max_rate=float("inf"), max_categories=10**9)
+    job = DetectorJob(spark, bots_path=f"{scratch}/bots", checkpoint=f"{scratch}/ckpt", source_dir=src,
+                      thresholds=count_over_2)
+    files = [["a", "a", "a", "b"], ["a", "b", "b"], ["a", "b", "c"], ["c", "a", "b", "c"], ["c", "a", "b", "d"]]
+    listed = []
+    for n, ips in enumerate(files):
+        write_file(src, f"f{n}.json", [line(n, ip) for ip in ips])
+        job.tick()
+        listed.append(sorted(r[0] for r in read_bots(spark, job.bots_path).select("ipAddress").collect()))
+    assert listed == [["a"], ["a", "b"], ["a", "b"], ["a", "b", "c"], ["a", "b", "c"]]
