@@ -100,13 +100,26 @@ def _start_and_wait(df, checkpoint, output_mode, batch_fn, path, fmt, query_name
     if batch_fn is not None:
         writer = writer.foreachBatch(batch_fn)
     else:
-        writer = writer.format(fmt).option("path", path)
+        writer = writer.format(fmt)
+        if path is not None:
+            writer = writer.option("path", path)
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
 
 
+def start_query(df: DataFrame, checkpoint: str, processing_time: str = "2 seconds",
+                output_mode: str = "update", fmt: str = "console",
+                batch_fn: Callable[[DataFrame, int], None] | None = None, **options):
+    """A never-ending query on a processing-time trigger (console by
+    default); returns the running ``StreamingQuery``."""
+    writer = (df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+              .trigger(processingTime=processing_time))
+    writer = writer.foreachBatch(batch_fn) if batch_fn is not None else writer.format(fmt).options(**options)
+    return writer.start()
+
+
 def versioned_sink(path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch sink: each batch to ``path/batch_id=N``, overwritten on replay,
     so a retried batch never duplicates rows."""

@@ -73,3 +73,18 @@ def test_anchored_pattern(spark):
 def test_corrupt_records(spark):
     df = lines(spark, FIRST, "{bad json}", "garbage", SECOND_QUOTED)
     assert [r[0] for r in corrupt_records(df).collect()] == ["{bad json}"]
+
+
+def test_write_corrupt_records(spark, scratch):
+    from botsieve.functions.parse import write_corrupt_records
+    out = f"{scratch}/corrupt"
+    write_corrupt_records(lines(spark, FIRST, "{bad json}"), out)
+    write_corrupt_records(lines(spark, "{also bad}"), out)  # overwrite, not append
+    assert [r[0] for r in spark.read.text(out).collect()] == ["{also bad}"]
+
+
+def test_kafka_value_decode(spark):
+    from botsieve.functions.parse import decode_value
+    df = spark.createDataFrame([(bytearray(SECOND_QUOTED.encode()),)], "value binary")
+    assert parsed(spark, df.select(decode_value("value").alias("value")).first()[0]) == \
+        [(datetime(2018, 9, 27, 19, 22, 31), 1004, "172.10.1.139", "click")]

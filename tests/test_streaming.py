@@ -189,3 +189,22 @@ def test_detector_job_ticks(spark, scratch):
         job.tick()
         listed.append(sorted(r[0] for r in read_bots(spark, job.bots_path).select("ipAddress").collect()))
     assert listed == [["a"], ["a", "b"], ["a", "b"], ["a", "b", "c"], ["a", "b", "c"]]
+
+
+def test_processing_time_query_and_console(spark, scratch):
+    from botsieve.streaming.detector import start_query
+    feed = f"{scratch}/feed"
+    write_file(feed, "f0.json", [line(0, "a"), line(1, "b")])
+    seen = []
+    q = start_query(detect(text_stream(spark, feed), WindowSpec(), thresholds=None), f"{scratch}/ckpt",
+                    processing_time="1 second", batch_fn=lambda df, i: seen.append(df.count()))
+    q.processAllAvailable()
+    q.stop()
+    assert sum(seen) == 4  # two addresses x two windows
+    run_available_now(text_stream(spark, feed), f"{scratch}/ckpt2", "append", fmt="console")
+
+
+def test_kafka_options():
+    from botsieve.streaming.detector import kafka_options
+    assert kafka_options() == {"kafka.bootstrap.servers": "localhost:9092", "subscribe": "ad-events",
+                               "failOnDataLoss": "false"}
