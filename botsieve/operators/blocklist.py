@@ -93,7 +93,7 @@ def semijoin_bots(events: DataFrame, bots: DataFrame, broadcast: bool = True) ->
 
 
 def new_entries(flagged: DataFrame, current: DataFrame, created_at: datetime | None = None,
-                as_of: datetime | None = None) -> DataFrame:
+                as_of: datetime | None = None, ttl_hours: int = BLOCK_TTL_HOURS) -> DataFrame:
     """K1/K2 as a bulk put-if-absent: rows for addresses not yet (actively) listed.
 
     ``flagged`` has ``ipAddress`` and either ``window`` or ``end``. The first
@@ -103,14 +103,14 @@ def new_entries(flagged: DataFrame, current: DataFrame, created_at: datetime | N
     if "window" in flagged.columns:
         flagged = flagged_ips(flagged)
     ips = one_row_per_ip(flagged.where(F.col(BOT_KEY).isNotNull()))
-    listed = active(current, as_of).select(BOT_KEY)
+    listed = active(current, as_of, ttl_hours).select(BOT_KEY)
     stamp = ts_lit(created_at) if created_at else F.current_timestamp()
     return (ips.join(listed, BOT_KEY, "left_anti")
             .select(BOT_KEY, BOT_VALUE, stamp.alias("created_at")))
 
 
 def merge_into(path: str, flagged: DataFrame, created_at: datetime | None = None,
-               as_of: datetime | None = None) -> int:
+               as_of: datetime | None = None, ttl_hours: int = BLOCK_TTL_HOURS) -> int:
     """Append new entries to the parquet bot table at ``path``; returns rows added.
 
     The new rows are counted before the append; the append job commits its
@@ -119,7 +119,7 @@ def merge_into(path: str, flagged: DataFrame, created_at: datetime | None = None
     """
     spark = flagged.sparkSession
     current = read_bots(spark, path)
-    fresh = new_entries(flagged, current, created_at, as_of).persist()
+    fresh = new_entries(flagged, current, created_at, as_of, ttl_hours).persist()
     try:
         added = fresh.count()
         if added:

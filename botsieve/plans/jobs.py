@@ -20,11 +20,12 @@ from __future__ import annotations
 import argparse
 import time
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
 from botsieve.functions.parse import decode_value, parse_events, with_event_time
-from botsieve.params import KAFKA_BOOTSTRAP, KAFKA_TOPIC, Thresholds, WindowSpec
+from botsieve.params import BLOCK_TTL_HOURS, KAFKA_BOOTSTRAP, KAFKA_TOPIC, Thresholds, WindowSpec
 from botsieve.session import get_session, shared_root
 from botsieve.streaming.detector import (block_list_sink, bots_fresh, detect, kafka_stream,
                                          run_available_now, text_stream)
@@ -43,6 +44,9 @@ class DetectorJob:
     spec: WindowSpec = field(default_factory=WindowSpec)
     thresholds: Thresholds = field(default_factory=Thresholds)
     lookup: bool = True
+    # Entries expire this long after creation; an expired address can be
+    # listed again. None keeps entries forever.
+    ttl_hours: int | None = BLOCK_TTL_HOURS
 
     def lines(self) -> DataFrame:
         if self.kafka_servers:
@@ -50,13 +54,20 @@ class DetectorJob:
             return raw.select(decode_value("value").alias("value"))
         return text_stream(self.spark, self.source_dir)
 
-    def plan(self) -> DataFrame:
-        bots = bots_fresh(self.spark, self.bots_path) if self.lookup else None
+    def now(self) -> datetime | None:
+        return datetime.now(timezone.utc) if self.ttl_hours is not None else None
+
+    def plan(self, as_of: datetime | None = None) -> DataFrame:
+        bots = None
+        if self.lookup:
+            bots = bots_fresh(self.spark, self.bots_path, as_of, self.ttl_hours or 0)
         return detect(self.lines(), self.spec, self.thresholds, bots=bots)
 
     def tick(self) -> None:
-        run_available_now(self.plan(), self.checkpoint, "update",
-                          batch_fn=block_list_sink(self.bots_path))
+        as_of = self.now()
+        run_available_now(self.plan(as_of), self.checkpoint, "update",
+                          batch_fn=block_list_sink(self.bots_path, as_of=as_of,
+                                                   ttl_hours=self.ttl_hours or 0))
 
     def run(self, ticks: int = 1, interval: float = 60.0) -> None:
         """``ticks=0`` runs until stopped."""

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from botsieve.functions.features import flag_predicate
 from botsieve.functions.parse import parse_events, with_event_time
-from botsieve.operators.blocklist import antijoin_bots, latest_per_key, merge_into, read_bots
+from botsieve.operators.blocklist import active, antijoin_bots, latest_per_key, merge_into, read_bots
 from botsieve.operators.windows import window_features
-from botsieve.params import KAFKA_BOOTSTRAP, KAFKA_TOPIC, Thresholds, WindowSpec
+from botsieve.params import BLOCK_TTL_HOURS, KAFKA_BOOTSTRAP, KAFKA_TOPIC, Thresholds, WindowSpec
 
 
 # ----------------------------------------------------------------- sources --
@@ -142,13 +142,14 @@ def last_values(updates: DataFrame, key: list[str]) -> DataFrame:
 
 
 def block_list_sink(bots_path: str, created_at: datetime | None = None,
-                    as_of: datetime | None = None, observer=None) -> Callable[[DataFrame, int], None]:
+                    as_of: datetime | None = None, observer=None,
+                    ttl_hours: int = BLOCK_TTL_HOURS) -> Callable[[DataFrame, int], None]:
     """W6 + K1: each batch of flagged windows merged into the bot table,
     put-if-absent, one row per address with the latest window end of the batch."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         if observer is not None:
             observer(batch)
-        merge_into(bots_path, batch, created_at=created_at, as_of=as_of)
+        merge_into(bots_path, batch, created_at=created_at, as_of=as_of, ttl_hours=ttl_hours)
     return sink
 
 
@@ -180,11 +181,8 @@ class RowWriter:
             raise error
 
 
-def bots_fresh(spark: SparkSession, bots_path: str) -> DataFrame:
-    """The lookup side of one round, read anew when the round is planned."""
-    return read_bots(spark, bots_path)
-
-
-def flatten(df: DataFrame) -> DataFrame:
-    return df.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                     *[c for c in df.columns if c != "window"])
+def bots_fresh(spark: SparkSession, bots_path: str, as_of: datetime | None = None,
+               ttl_hours: int = BLOCK_TTL_HOURS) -> DataFrame:
+    """The lookup side of one round, read anew when the round is planned;
+    with ``as_of`` only the entries alive then (created-expiry)."""
+    return active(read_bots(spark, bots_path), as_of, ttl_hours)

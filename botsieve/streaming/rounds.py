@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from botsieve.functions.features import flag_predicate
+from botsieve.functions.parse import parse_events
 from botsieve.params import Thresholds, WindowSpec
 from botsieve.session import work_dir
 from botsieve.sources.events import event_lines
-from botsieve.streaming.detector import (block_list_sink, bots_fresh, detect, last_values, read_bots,
+from botsieve.operators.blocklist import antijoin_bots, read_bots
+from botsieve.streaming.detector import (block_list_sink, bots_fresh, detect, last_values,
                                          run_available_now, text_stream, versioned_sink)
 
 EPOCH = datetime(1970, 1, 1)
@@ -98,8 +100,6 @@ def stream_block_list(spark: SparkSession, events: DataFrame, spec: WindowSpec,
 def stream_antijoin(spark: SparkSession, events: DataFrame, bots: DataFrame,
                     root: str | None = None) -> DataFrame:
     """J1 on a stream: parsed lines minus listed addresses, append mode to parquet."""
-    from botsieve.functions.parse import parse_events
-    from botsieve.operators.blocklist import antijoin_bots
     root = root or work_dir(spark, "stream-anti")
     feed, ckpt, out = f"{root}/feed", f"{root}/checkpoint", f"{root}/out"
     event_lines(events, shaped=False).write.mode("append").text(feed)
@@ -116,6 +116,3 @@ def stream_text(spark: SparkSession, events: DataFrame, root: str | None = None)
     run_available_now(text_stream(spark, feed), ckpt, "append", path=out)
     return spark.read.parquet(out)
 
-
-__all__ = ["stream_flagged_windows", "stream_block_list", "stream_antijoin", "stream_text",
-           "round_starts", "feed_slice", "read_bots"]
