@@ -54,9 +54,10 @@ def shared_root(spark: SparkSession) -> str:
     """Folder shared by driver and executors for checkpoints and work tables.
 
     Taken from ``spark.checkpoint.dir`` as the cluster sets it (or from a
-    checkpoint dir already set on the context). Only when neither is set
-    (tests, local runs) a fresh folder under the system temp dir is created
-    and registered as the checkpoint dir.
+    checkpoint dir already set on the context). Only when neither is set and
+    the master is local (tests, local runs) a fresh folder under the system
+    temp dir is created and registered as the checkpoint dir; on a cluster
+    that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     context = None
@@ -67,6 +68,10 @@ def shared_root(spark: SparkSession) -> str:
     if not root and context is not None:
         root = context.getCheckpointDir()
     if not root:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share; "
+                               "a machine-local temp folder does not survive a lost executor")
         root = _LOCAL_ROOTS.get(id(spark)) or tempfile.mkdtemp(prefix="botsieve-ckpt-")
         _LOCAL_ROOTS[id(spark)] = root
     if context is not None and not context.getCheckpointDir():

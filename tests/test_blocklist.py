@@ -83,3 +83,10 @@ def test_latest_per_key(spark):
     df = spark.createDataFrame([("k", 1, "x"), ("k", 3, "y"), ("j", 2, "z")], "key string, v int, p string")
     got = sorted(tuple(r) for r in latest_per_key(df, ["key"], "v").collect())
     assert got == [("j", 2, "z"), ("k", 3, "y")]
+
+
+def test_shared_root_comes_from_the_session(spark):
+    from botsieve.session import shared_root, work_dir
+    root = shared_root(spark)
+    assert root == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    assert work_dir(spark, "x").startswith(root + "/x-")
