@@ -464,12 +464,13 @@ def q_stream_antijoin_bots(spark, sf_dir):
     return ntz(out, "unixTime")
 
 
-@register("stream_block_list")
+@register("stream_block_list", O.block_list_rounds_sql(5))
 def q_stream_block_list(spark, sf_dir):
     """Q2 flagship as a stream: the self-feeding block list over 5-day rounds.
 
-    Iterative (each round reads what the earlier rounds wrote), so no SQL
-    oracle; tests compare it with a plain re-computation of the rounds.
+    Each round reads what the earlier rounds wrote. The oracle gets the same
+    table in one pass: an address counts all its events until it is listed,
+    so its listing round follows from cumulative per-round window counts.
     """
     pin_utc(spark)
     out = stream_block_list(spark, table(spark, sf_dir, "events"), DAILY, Thresholds())

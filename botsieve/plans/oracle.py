@@ -116,3 +116,56 @@ def bots_cte(as_of: str) -> str:
 {flagged_cte('early', 'early_flagged')},
 bots AS (SELECT ipAddress, max(window_end) AS "end", max(window_end) AS created_at
          FROM early_flagged GROUP BY ipAddress)"""
+
+
+def block_list_rounds_sql(round_days: int = 5) -> str:
+    """The self-feeding block list of ``availableNow`` rounds over
+    ``round_days`` slices of events, as one SQL query.
+
+    An address keeps all its events until it is listed, so its state in a
+    window after round r is the aggregate of its events there up to round r.
+    It is listed in the first round r in which a window it touched in round
+    r crosses a threshold; its entry holds the latest end of those windows
+    and is created at the end of round r. Times are whole seconds, as the
+    raw lines carry them.
+    """
+    step = round_days * 86400
+    return f"""WITH ev AS (
+  SELECT date_trunc('second', ts) AS unixTime,
+         CAST(floor(epoch(ts) / {step}) AS BIGINT) AS r,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS categoryId,
+         CAST(user_id AS VARCHAR) AS ipAddress, event_type AS eventType
+  FROM events),
+wx AS (SELECT *, unnest([0, 1]) AS i FROM ev),
+win AS (
+  SELECT time_bucket(INTERVAL '720 minutes', unixTime, TIMESTAMP '1970-01-01') - i * INTERVAL '720 minutes' AS window_start,
+         r, categoryId, ipAddress, eventType
+  FROM wx),
+cell AS (
+  SELECT ipAddress, window_start, r, count(*) AS n,
+         count(CASE WHEN eventType = 'click' THEN 1 END) AS c,
+         count(CASE WHEN eventType = 'view' THEN 1 END) AS v
+  FROM win GROUP BY ipAddress, window_start, r),
+cum AS (
+  SELECT ipAddress, window_start, r,
+         sum(n) OVER w AS amount, sum(c) OVER w AS clicks, sum(v) OVER w AS views
+  FROM cell WINDOW w AS (PARTITION BY ipAddress, window_start ORDER BY r)),
+first_cat AS (
+  SELECT ipAddress, window_start, categoryId, min(r) AS r0
+  FROM win WHERE categoryId IS NOT NULL GROUP BY ipAddress, window_start, categoryId),
+state AS (
+  SELECT cum.ipAddress, cum.window_start, cum.r, cum.amount, cum.clicks, cum.views,
+         count(first_cat.categoryId) AS categories
+  FROM cum LEFT JOIN first_cat
+    ON first_cat.ipAddress = cum.ipAddress AND first_cat.window_start = cum.window_start
+   AND first_cat.r0 <= cum.r
+  GROUP BY ALL),
+flag AS (
+  SELECT * FROM state
+  WHERE amount > 10 OR CAST(clicks AS DOUBLE) / NULLIF(views, 0) > 3 OR categories > 5),
+listed AS (SELECT ipAddress, min(r) AS r FROM flag GROUP BY ipAddress)
+SELECT flag.ipAddress,
+       max(flag.window_start) + INTERVAL '1 day' AS "end",
+       TIMESTAMP '1970-01-01' + to_seconds((listed.r + 1) * {step}) AS created_at
+FROM flag JOIN listed ON flag.ipAddress = listed.ipAddress AND flag.r = listed.r
+GROUP BY flag.ipAddress, listed.r"""
