@@ -30,7 +30,9 @@ LINE_SHAPES = {"view": "plain", "click": "plain", "purchase": "quoted",
 
 
 def category_of(props: Column) -> Column:
-    return F.get_json_object(props, "$.k").cast("int")
+    """``props.k`` as an int; a value that is not an integer gives null (as
+    ``from_json`` does for ``category_id``), also under ANSI casts."""
+    return F.get_json_object(props, "$.k").try_cast("int")
 
 
 def clicks_from_events(events: DataFrame) -> DataFrame:

@@ -90,3 +90,12 @@ def test_shared_root_comes_from_the_session(spark):
     root = shared_root(spark)
     assert root == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert work_dir(spark, "x").startswith(root + "/x-")
+
+
+def test_compact_keeps_active_rows(spark, scratch):
+    from botsieve.operators.blocklist import compact
+    rows = [("a", datetime(2024, 1, 1), datetime(2024, 1, 1)),
+            ("b", datetime(2024, 1, 2), datetime(2024, 1, 2, 6))]
+    write_bots(spark.createDataFrame(rows, BOT_SCHEMA), f"{scratch}/bots")
+    kept = compact(spark, f"{scratch}/bots", f"{scratch}/bots-compact", datetime(2024, 1, 2, 12))
+    assert [r[0] for r in kept.collect()] == ["b"]
