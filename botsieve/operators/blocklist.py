@@ -28,15 +28,15 @@ BOT_SCHEMA = T.StructType([
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a measured bound.
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """One count of the (small, lookup) side; ``limit(max_rows + 1)`` stops
+    the count early when the side is large."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
-    One count of the (small, lookup) side decides; ``limit(max_rows + 1)``
-    stops the count early when the side is large.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only behind a measured bound."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def empty_bots(spark: SparkSession) -> DataFrame:
@@ -69,27 +69,59 @@ def active(bots: DataFrame, as_of: datetime | None = None,
     return bots.where((F.col("created_at") > ts_lit(cutoff)) & (F.col("created_at") <= ts_lit(as_of)))
 
 
-def antijoin_bots(events: DataFrame, bots: DataFrame, broadcast: bool = True) -> DataFrame:
+# Salt buckets for a shuffled lookup on a stream: AQE's skew-join split does
+# not run on micro-batches, so a hot address would sit in one task.
+STREAM_SALT_BUCKETS = 32
+
+
+def _lookup(events: DataFrame, bots: DataFrame, how: str, broadcast: bool,
+            salt_buckets: int | None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    side = bots.select(F.col(BOT_KEY).alias("cachedIp"))
+    if broadcast and fits_broadcast(side, max_rows):
+        return events.join(F.broadcast(side), events[BOT_KEY] == side["cachedIp"], how)
+    if salt_buckets is None:
+        salt_buckets = STREAM_SALT_BUCKETS if events.isStreaming else 1
+    if salt_buckets <= 1:
+        return events.join(side, events[BOT_KEY] == side["cachedIp"], how)
+    return salted_join(events, side, BOT_KEY, "cachedIp", how, salt_buckets)
+
+
+def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str,
+                buckets: int) -> DataFrame:
+    """Equi-join split over ``buckets`` salts. Each left row's salt is a hash
+    of the whole row (the same on a retried task, unlike a random number);
+    each right row is repeated once per salt. A hot key is spread over
+    ``buckets`` tasks. Exact for inner, left semi and left anti joins: a left
+    row meets every right row of its key in its own bucket."""
+    if how not in ("inner", "left_semi", "left_anti"):
+        raise ValueError(f"salting is exact only for inner/semi/anti joins, not {how!r}")
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(buckets)).cast("int")
+    salted_left = left.withColumn("_salt", salt)
+    salted_right = (right.withColumn("_rsalt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))))
+    cond = (salted_left[left_key] == salted_right[right_key]) & (salted_left["_salt"] == salted_right["_rsalt"])
+    joined = salted_left.join(salted_right, cond, how).drop("_salt")
+    return joined.drop("_rsalt") if how == "inner" else joined
+
+
+def antijoin_bots(events: DataFrame, bots: DataFrame, broadcast: bool = True,
+                  salt_buckets: int | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Events whose address is not on the list.
 
     An event with a null address never matches and stays. The list is keyed
     and small next to the event stream, so it is broadcast when its size is
     within the checked bound (the replicated table of the original); beyond it
-    the anti join shuffles both sides on the address. No ``distinct`` on the
-    list: duplicate keys on the build side do not change a semi or anti join.
+    the join shuffles: in batch AQE splits skewed partitions, on a stream the
+    join is salted (``salt_buckets``, default 32 for streams, 1 in batch). No
+    ``distinct`` on the list: duplicate keys on the build side do not change a
+    semi or anti join.
     """
-    side = bots.select(F.col(BOT_KEY).alias("cachedIp"))
-    if broadcast:
-        side = broadcast_if_small(side)
-    return events.join(side, events[BOT_KEY] == side["cachedIp"], "left_anti")
+    return _lookup(events, bots, "left_anti", broadcast, salt_buckets, max_rows)
 
 
-def semijoin_bots(events: DataFrame, bots: DataFrame, broadcast: bool = True) -> DataFrame:
+def semijoin_bots(events: DataFrame, bots: DataFrame, broadcast: bool = True,
+                  salt_buckets: int | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Events whose address is on the list (the positive cache probe)."""
-    side = bots.select(F.col(BOT_KEY).alias("cachedIp"))
-    if broadcast:
-        side = broadcast_if_small(side)
-    return events.join(side, events[BOT_KEY] == side["cachedIp"], "left_semi")
+    return _lookup(events, bots, "left_semi", broadcast, salt_buckets, max_rows)
 
 
 def new_entries(flagged: DataFrame, current: DataFrame, created_at: datetime | None = None,

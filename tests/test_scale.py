@@ -82,3 +82,32 @@ def test_time_slices_reach_the_scan(spark):
 def test_no_python_in_query_plans(spark, name):
     p = plan(entry_module.queries()[name](spark, SF001))
     assert "EvalPython" not in p and "PythonUDF" not in p and "FlatMapGroupsInPandas" not in p
+
+
+@pytest.mark.parametrize("how", ["anti", "semi"])
+def test_salted_lookup_is_exact(spark, how):
+    from botsieve.operators.blocklist import semijoin_bots
+    ev = hot_clicks(spark)
+    bots = spark.createDataFrame([("-1",), ("7",), ("8",)], "ipAddress string")
+    fn = antijoin_bots if how == "anti" else semijoin_bots
+    salted = fn(ev, bots, broadcast=False, salt_buckets=8)
+    plain = fn(ev, bots, broadcast=True)
+    assert "_salt" not in salted.columns and salted.columns == ev.columns
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+
+
+def test_stream_lookup_above_bound_is_salted(spark, scratch):
+    import json as _json
+    import os
+    from botsieve.functions.parse import parse_events
+    from botsieve.streaming.detector import run_available_now, text_stream
+    feed = f"{scratch}/feed"
+    os.makedirs(feed)
+    with open(f"{feed}/f0.json", "w") as fh:
+        for i, ip in enumerate(["a"] * 30 + ["b", "c"]):
+            fh.write(_json.dumps({"unix_time": 1538076000 + i, "category_id": 1, "ip": ip, "type": "view"}) + "\n")
+    bots = spark.createDataFrame([("a",)], "ipAddress string")
+    stream = antijoin_bots(parse_events(text_stream(spark, feed)), bots, max_rows=0)
+    assert "xxhash64" in plan(stream, "extended")
+    run_available_now(stream, f"{scratch}/ckpt", "append", path=f"{scratch}/out")
+    assert sorted(r[0] for r in spark.read.parquet(f"{scratch}/out").select("ipAddress").collect()) == ["b", "c"]
