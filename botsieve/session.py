@@ -101,3 +101,25 @@ def pin_utc(spark: SparkSession) -> None:
     """Windows are epoch aligned; the test tables hold UTC wall-clock times."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input on ``cores`` cores.
+
+    * Scan splits of ``partition_bytes`` (row groups permitting).
+    * Shuffle partitions: enough that a partition holds about
+      ``partition_bytes`` of the input even if a shuffle moved all of it, at
+      least 2 per core; AQE coalesces the small ones at run time
+      (``parallelismFirst=false``: by size, not by core count).
+    * Streaming state keeps the shuffle partition count of its first start for
+      its whole life, so a stream's checkpoint should be started under these
+      settings, not under local ones.
+    """
+    partitions = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }

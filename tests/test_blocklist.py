@@ -99,3 +99,10 @@ def test_compact_keeps_active_rows(spark, scratch):
     write_bots(spark.createDataFrame(rows, BOT_SCHEMA), f"{scratch}/bots")
     kept = compact(spark, f"{scratch}/bots", f"{scratch}/bots-compact", datetime(2024, 1, 2, 12))
     assert [r[0] for r in kept.collect()] == ["b"]
+
+
+def test_cluster_conf_for_100_tb():
+    from botsieve.session import cluster_conf
+    conf = cluster_conf(100 << 40, cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600  # 256 MiB a partition
+    assert cluster_conf(1 << 20, cores=8)["spark.sql.shuffle.partitions"] == "16"
