@@ -103,23 +103,29 @@ def pin_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+def cluster_conf(input_bytes: int, cores: int, shuffle_bytes: int | None = None,
+                 split_bytes: int = 512 << 20, partition_bytes: int = 256 << 20,
+                 max_partitions: int = 50_000) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of input on ``cores`` cores.
 
-    * Scan splits of ``partition_bytes`` (row groups permitting).
-    * Shuffle partitions: enough that a partition holds about
-      ``partition_bytes`` of the input even if a shuffle moved all of it, at
-      least 2 per core; AQE coalesces the small ones at run time
-      (``parallelismFirst=false``: by size, not by core count).
+    * Scan splits of ``split_bytes`` (row groups permitting): 100 TB gives
+      ~200k map tasks.
+    * Shuffle partitions from the largest shuffle (``shuffle_bytes``; by
+      default a tenth of the input, as partial aggregation leaves of the
+      detector's input): about ``partition_bytes`` each, at least 2 per core,
+      at most ``max_partitions`` (map x reduce blocks grow with both counts).
+      AQE coalesces small ones by size (``parallelismFirst=false``) and
+      splits skewed join partitions.
     * Streaming state keeps the shuffle partition count of its first start for
       its whole life, so a stream's checkpoint should be started under these
       settings, not under local ones.
     """
-    partitions = max(2 * cores, -(-input_bytes // partition_bytes))
+    shuffle_bytes = input_bytes // 10 if shuffle_bytes is None else shuffle_bytes
+    partitions = min(max_partitions, max(2 * cores, -(-shuffle_bytes // partition_bytes)))
     return {
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
     }

@@ -104,5 +104,6 @@ def test_compact_keeps_active_rows(spark, scratch):
 def test_cluster_conf_for_100_tb():
     from botsieve.session import cluster_conf
     conf = cluster_conf(100 << 40, cores=8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409600  # 256 MiB a partition
+    assert conf["spark.sql.shuffle.partitions"] == "40960"  # 10 TB shuffled, 256 MiB a partition
+    assert cluster_conf(100 << 40, cores=8000, shuffle_bytes=100 << 40)["spark.sql.shuffle.partitions"] == "50000"
     assert cluster_conf(1 << 20, cores=8)["spark.sql.shuffle.partitions"] == "16"
