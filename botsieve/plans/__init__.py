@@ -1,0 +1 @@
+"""Jobs and the registered queries with their oracle SQL."""
