@@ -163,14 +163,31 @@ BOTS_SQL = O.bots_cte(AS_OF.isoformat(sep=" "))
 NTZ_BOT_COLS = ['ipAddress', 'CAST("end" AS TIMESTAMP) AS "end"', "CAST(created_at AS TIMESTAMP) AS created_at"]
 
 
+_BOT_TABLES: dict[tuple[int, str], str] = {}
+
+
 def bots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bot table as a stored table: derived once, written to the shared
-    folder, read back (so the size check and the join scan it, not re-derive it)."""
-    path = work_dir(spark, "bots")
-    write_bots(bots_as_of(clicks(spark, sf_dir), AS_OF, DAILY, Thresholds()), path)
+    """The bot table as a stored table: derived from ``events`` once per
+    session and folder, written to the shared folder and read from there
+    (so the size check and the joins scan it instead of re-deriving it)."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    path = _BOT_TABLES.get(key)
+    if path is None or not _readable(spark, path):
+        path = work_dir(spark, "bots")
+        write_bots(bots_as_of(clicks(spark, sf_dir), AS_OF, DAILY, Thresholds()), path)
+        _BOT_TABLES[key] = path
+    pin_utc(spark)
     return read_bots(spark, path)
 
 
+def _readable(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except Exception:
+        return False
+
+
 def ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in cols else F.col(c)
                        for c in df.columns])
