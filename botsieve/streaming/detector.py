@@ -122,16 +122,10 @@ def start_query(df: DataFrame, checkpoint: str, processing_time: str = "2 second
 
 def versioned_sink(path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch sink: each batch to ``path/batch_id=N``, overwritten on replay,
-    so a retried batch never duplicates rows. The batch is cached so the
-    emptiness check and the write evaluate it once; empty batches (those that
-    only move the watermark) write nothing."""
+    so a retried batch never duplicates rows. One write, one evaluation of the
+    batch; a watermark-only batch leaves an empty folder that reads as nothing."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            if not batch.isEmpty():
-                batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
     return sink
 
 
