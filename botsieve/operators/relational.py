@@ -4,7 +4,8 @@ The detector's original hands these operators to its table store through a
 Catalyst rule; on Spark they are plain DataFrame plans and Catalyst/AQE pick
 the physical strategy. Choices made for scale:
 
-* Money is summed as DECIMAL: exact, and independent of summation order.
+* Money is summed as DECIMAL: exact, and independent of summation order;
+  the exact sum is handed out as the nearest double.
 * Aggregate before joining where the join only needs the aggregate (orders
   per customer, quantity per part): the partial aggregate shrinks the
   shuffle to one row per key and task.
@@ -32,8 +33,12 @@ def money(col: str):
 
 
 def dsum(expr, scale: int = 2):
-    """Exact decimal sum, widened to the largest precision."""
-    return F.sum(expr).cast(f"decimal(38,{scale})")
+    """Exact decimal sum, handed out as a double.
+
+    The sum itself is exact and order independent; the result is the double
+    nearest to it, the type every reader (pandas, Arrow, JSON) takes as is.
+    """
+    return F.sum(expr).cast(f"decimal(38,{scale})").cast("double")
 
 
 def disc_price():
@@ -97,7 +102,7 @@ def group_agg(lineitem: DataFrame) -> DataFrame:
                  dsum(money("l_extendedprice")).alias("sum_base_price"),
                  dsum(disc_price(), 4).alias("sum_disc_price"),
                  F.avg("l_quantity").alias("avg_qty"),
-                 (dsum(money("l_extendedprice")).cast("double") / n).alias("avg_price"),
+                 (dsum(money("l_extendedprice")) / n).alias("avg_price"),
                  F.min("l_discount").alias("min_disc"),
                  F.max("l_discount").alias("max_disc"),
                  F.min("l_shipdate").alias("first_ship"),
@@ -254,7 +259,8 @@ def dates(orders: DataFrame) -> DataFrame:
     d = F.col("o_orderdate").cast("date")
     return orders.select("o_orderkey",
                          F.year(d).alias("y"), F.month(d).alias("m"), F.dayofmonth(d).alias("d"),
-                         F.date_add(d, 30).alias("due"))
+                         # a DATE, handed out as its midnight (TIMESTAMP_NTZ)
+                         F.date_add(d, 30).cast("timestamp_ntz").alias("due"))
 
 
 def math(lineitem: DataFrame) -> DataFrame:

@@ -209,11 +209,12 @@ def q_bots_table_scan(spark, sf_dir):
 
 
 @register("bots_view_sql", f"""WITH {BOTS_SQL}
-SELECT CAST("end" AS DATE) AS day, count(*) AS bots FROM bots GROUP BY 1""")
+SELECT CAST(CAST("end" AS DATE) AS TIMESTAMP) AS day, count(*) AS bots FROM bots GROUP BY 1""")
 def q_bots_view_sql(spark, sf_dir):
     """The bot table as temp view ``bots``, queried with SQL."""
     as_view(bots(spark, sf_dir), "bots")
-    return spark.sql("SELECT CAST(`end` AS DATE) AS day, count(*) AS bots FROM bots GROUP BY 1")
+    return spark.sql("SELECT CAST(CAST(`end` AS DATE) AS TIMESTAMP_NTZ) AS day, count(*) AS bots "
+                     "FROM bots GROUP BY 1")
 
 
 @register("events_global_view", f"""WITH {O.EVENTS_CTE}
@@ -316,8 +317,8 @@ def q_table_distinct(spark, sf_dir):
 
 @register("table_group_agg", """SELECT l_returnflag, l_linestatus,
        sum(l_quantity) AS sum_qty,
-       CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS DECIMAL(38,2)) AS sum_base_price,
-       CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(15,2)))) AS DECIMAL(38,4)) AS sum_disc_price,
+       CAST(CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS DECIMAL(38,2)) AS DOUBLE) AS sum_base_price,
+       CAST(CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(15,2)))) AS DECIMAL(38,4)) AS DOUBLE) AS sum_disc_price,
        avg(l_quantity) AS avg_qty,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS DOUBLE) / count(*) AS avg_price,
        min(l_discount) AS min_disc, max(l_discount) AS max_disc,
@@ -392,7 +393,7 @@ def q_join_self(spark, sf_dir):
 
 
 @register("join_derived", """WITH revenue AS (
-  SELECT l_orderkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(15,2)))) AS DECIMAL(38,4)) AS revenue
+  SELECT l_orderkey, CAST(CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(15,2)))) AS DECIMAL(38,4)) AS DOUBLE) AS revenue
   FROM lineitem GROUP BY l_orderkey),
 recent AS (
   SELECT o_orderkey, o_orderdate, o_orderpriority FROM orders
@@ -403,7 +404,7 @@ def q_join_derived(spark, sf_dir):
 
 
 @register("join_nested_names", """SELECT sn.n_name AS supp_nation, cn.n_name AS cust_nation,
-       CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(15,2)))) AS DECIMAL(38,4)) AS revenue,
+       CAST(CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(15,2)))) AS DECIMAL(38,4)) AS DOUBLE) AS revenue,
        count(*) AS lines
 FROM lineitem
 JOIN supplier ON l_suppkey = s_suppkey JOIN nation sn ON s_nationkey = sn.n_nationkey
@@ -433,7 +434,7 @@ def q_expr_conditions(spark, sf_dir):
 
 @register("expr_dates", """SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y,
        CAST(month(o_orderdate) AS INTEGER) AS m, CAST(day(o_orderdate) AS INTEGER) AS d,
-       CAST(o_orderdate AS DATE) + 30 AS due FROM orders""")
+       CAST(CAST(o_orderdate AS DATE) + 30 AS TIMESTAMP) AS due FROM orders""")
 def q_expr_dates(spark, sf_dir):
     return R.dates(*t(spark, sf_dir, "orders"))
 
