@@ -97,10 +97,12 @@ def corrupt_records(lines: DataFrame, value_col: str = "value",
     """
     schema = event_schema(time_type, corrupt_column=CORRUPT_COLUMN)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
-    groomed = lines.select(groom(value_col).alias("json")).where(F.col("json") != "")
-    return (parsed_once(groomed, F.from_json("json", schema, options), "record")
-            .select(F.col(f"record.{CORRUPT_COLUMN}").alias("value"))
-            .where(F.col("value").isNotNull()))
+    # Both filters sit above the explode, so the grooming regex runs once a line.
+    groomed = lines.select(groom(value_col).alias("json"))
+    record = F.struct(F.col("json"), F.from_json("json", schema, options)[CORRUPT_COLUMN].alias("bad"))
+    return (parsed_once(groomed, record, "r")
+            .where((F.col("r.json") != "") & F.col("r.bad").isNotNull())
+            .select(F.col("r.bad").alias("value")))
 
 
 def write_corrupt_records(lines: DataFrame, path: str, value_col: str = "value") -> None:
