@@ -58,15 +58,20 @@ def event_lines(events: DataFrame, shaped: bool = True, keep_time: bool = False)
     ``unix_time`` is whole epoch seconds (the fraction of ``ts`` is cut). With
     ``shaped`` the line shape follows ``LINE_SHAPES``; otherwise every line is
     plain. ``keep_time`` adds the event time (``ts``) for partitioning a feed.
+    The fields and the plain object are projected first, so the shapes read
+    them as columns and each row renders its object once.
     """
-    unix = F.unix_seconds(F.col("ts").cast("timestamp"))
-    category = category_of(F.col("props"))
-    ip = F.col("user_id").cast("string")
-    kind = F.col("event_type")
-    plain = _object(unix, category, ip, kind)
+    fields = events.select(
+        F.unix_seconds(F.col("ts").cast("timestamp")).alias("_unix"),
+        category_of(F.col("props")).alias("_cat"),
+        F.col("user_id").cast("string").alias("_ip"),
+        F.col("event_type").alias("_kind"),
+        F.col("ts"))
+    unix, category, ip, kind = (F.col(c) for c in ("_unix", "_cat", "_ip", "_kind"))
+    staged = fields.withColumn("_plain", _object(unix, category, ip, kind))
+    plain = F.col("_plain")
     if shaped:
-        quoted = F.concat(_quote(plain), F.lit(","))
-        line = (F.when(kind == "purchase", quoted)
+        line = (F.when(kind == "purchase", F.concat(_quote(plain), F.lit(",")))
                 .when(kind == "signup", F.concat(F.lit("["), plain, F.lit(",")))
                 .when(kind == "error", _object(unix, category, ip, kind, quote=""))
                 .otherwise(F.concat(plain, F.lit(","))))
@@ -75,7 +80,7 @@ def event_lines(events: DataFrame, shaped: bool = True, keep_time: bool = False)
     cols = [line.alias("value")]
     if keep_time:
         cols.append(F.col("ts"))
-    return events.select(*cols)
+    return staged.select(*cols)
 
 
 def _quote(line: Column) -> Column:
