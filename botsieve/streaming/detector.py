@@ -9,6 +9,7 @@ window state carries over in the checkpoint.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,7 +73,7 @@ NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 def run_available_now(df: DataFrame, checkpoint: str, output_mode: str = "update",
                       batch_fn: Callable[[DataFrame, int], None] | None = None,
                       path: str | None = None, fmt: str = "parquet", query_name: str | None = None,
-                      no_data_batches: bool | None = None) -> None:
+                      no_data_batches: bool | None = None, state_partitions: int | None = None) -> None:
     """Start, process everything available, stop (W5, W6, W10 with ``availableNow``).
 
     Either ``batch_fn`` (``foreachBatch``) or a file sink at ``path``.
@@ -80,17 +81,45 @@ def run_available_now(df: DataFrame, checkpoint: str, output_mode: str = "update
     only moves the watermark. Keep it on where late data matters: since Spark
     3.4 late rows are filtered with the previous batch's watermark, so without
     that batch a late row still reaches a window that is already closed.
+    ``state_partitions`` sets the shuffle (and state store) partitions of a new
+    checkpoint; a restarted query keeps the count in its checkpoint.
     """
-    spark = df.sparkSession
-    if no_data_batches is None:
+    overrides = {}
+    if no_data_batches is not None:
+        overrides[NO_DATA_BATCHES] = str(no_data_batches).lower()
+    if state_partitions:
+        overrides[SHUFFLE_PARTITIONS] = str(state_partitions)
+    with session_conf(df.sparkSession, overrides):
         _start_and_wait(df, checkpoint, output_mode, batch_fn, path, fmt, query_name)
-        return
-    previous = spark.conf.get(NO_DATA_BATCHES)
-    spark.conf.set(NO_DATA_BATCHES, str(no_data_batches).lower())
+
+
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+@contextmanager
+def session_conf(spark: SparkSession, overrides: dict[str, str]):
+    """SQL settings for the start of one query (a query keeps the values it
+    started with), restored afterwards."""
+    previous = {k: spark.conf.get(k, None) for k in overrides}
+    for k, v in overrides.items():
+        spark.conf.set(k, v)
     try:
-        _start_and_wait(df, checkpoint, output_mode, batch_fn, path, fmt, query_name)
+        yield
     finally:
-        spark.conf.set(NO_DATA_BATCHES, previous)
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def default_state_partitions(spark: SparkSession) -> int | None:
+    """One state partition per core the application has (None when the
+    session does not expose a context)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return None
 
 
 def _start_and_wait(df, checkpoint, output_mode, batch_fn, path, fmt, query_name) -> None:

@@ -20,8 +20,8 @@ from botsieve.params import Thresholds, WindowSpec
 from botsieve.session import work_dir
 from botsieve.sources.events import event_lines
 from botsieve.operators.blocklist import antijoin_bots, read_bots
-from botsieve.streaming.detector import (block_list_sink, bots_fresh, detect, last_values,
-                                         run_available_now, text_stream, versioned_sink)
+from botsieve.streaming.detector import (block_list_sink, bots_fresh, default_state_partitions, detect,
+                                         last_values, run_available_now, text_stream, versioned_sink)
 
 EPOCH = datetime(1970, 1, 1)
 
@@ -58,7 +58,7 @@ def feed_slice(events: DataFrame, feed: str, start: datetime, end: datetime, sha
 
 def stream_flagged_windows(spark: SparkSession, events: DataFrame, spec: WindowSpec,
                            thresholds: Thresholds = Thresholds(), round_days: float | timedelta = 5,
-                           root: str | None = None) -> DataFrame:
+                           root: str | None = None, state_partitions: int | None = None) -> DataFrame:
     """Q1 as a stream: update-mode window aggregates, last value per window
     and address, then the threshold filter. For input in event-time order
     this equals the batch result."""
@@ -68,14 +68,16 @@ def stream_flagged_windows(spark: SparkSession, events: DataFrame, spec: WindowS
     for start in round_starts(events, round_days):
         feed_slice(events, feed, start, start + step, shaped=False)
         stream = detect(text_stream(spark, feed), spec, thresholds=None)
-        run_available_now(stream, ckpt, "update", batch_fn=versioned_sink(updates))
+        run_available_now(stream, ckpt, "update", batch_fn=versioned_sink(updates),
+                          state_partitions=state_partitions or default_state_partitions(spark))
     final = last_values(spark.read.parquet(updates), ["window", "ipAddress"])
     return final.where(flag_predicate(thresholds))
 
 
 def stream_block_list(spark: SparkSession, events: DataFrame, spec: WindowSpec,
                       thresholds: Thresholds = Thresholds(), round_days: float | timedelta = 5,
-                      root: str | None = None, observer=None) -> DataFrame:
+                      root: str | None = None, observer=None,
+                      state_partitions: int | None = None) -> DataFrame:
     """Q2 (flagship) as a stream: the self-feeding block list.
 
     Each round: lines -> parse -> anti join with the bot table as it is now
@@ -93,7 +95,8 @@ def stream_block_list(spark: SparkSession, events: DataFrame, spec: WindowSpec,
         stream = detect(text_stream(spark, feed), spec, thresholds, bots=bots_fresh(spark, bots_path))
         watch = (lambda df, i=i: observer(i, df)) if observer else None
         run_available_now(stream, ckpt, "update",
-                          batch_fn=block_list_sink(bots_path, created_at=start + step, observer=watch))
+                          batch_fn=block_list_sink(bots_path, created_at=start + step, observer=watch),
+                          state_partitions=state_partitions or default_state_partitions(spark))
     return read_bots(spark, bots_path)
 
 
