@@ -208,3 +208,13 @@ def test_kafka_options():
     from botsieve.streaming.detector import kafka_options
     assert kafka_options() == {"kafka.bootstrap.servers": "localhost:9092", "subscribe": "ad-events",
                                "failOnDataLoss": "false"}
+
+
+def test_jobs_cli(spark, scratch):
+    from botsieve.operators.blocklist import read_bots
+    from botsieve.plans.jobs import main
+    src = f"{scratch}/src"
+    write_file(src, "f0.json", [line(i, "a") for i in range(4)] + [line(5, "b")])
+    main(["detect", "--source", src, "--bots", f"{scratch}/bots", "--checkpoint", f"{scratch}/ckpt",
+          "--max-amount", "2", "--ticks", "1"])
+    assert [r[0] for r in read_bots(spark, f"{scratch}/bots").select("ipAddress").collect()] == ["a"]
