@@ -111,3 +111,19 @@ def test_stream_lookup_above_bound_is_salted(spark, scratch):
     assert "xxhash64" in plan(stream, "extended")
     run_available_now(stream, f"{scratch}/ckpt", "append", path=f"{scratch}/out")
     assert sorted(r[0] for r in spark.read.parquet(f"{scratch}/out").select("ipAddress").collect()) == ["b", "c"]
+
+
+def test_streaming_detector_plan(spark, scratch):
+    import os
+    from botsieve.params import WindowSpec
+    from botsieve.streaming.detector import detect, text_stream
+    os.makedirs(f"{scratch}/feed")
+    with open(f"{scratch}/feed/f0.json", "w") as fh:
+        fh.write('{"unix_time": 1538076000, "category_id": 1, "ip": "a", "type": "view"}\n')
+    bots = spark.createDataFrame([("z",)], "ipAddress string")
+    p = plan(detect(text_stream(spark, f"{scratch}/feed"), WindowSpec(), bots=bots), "extended")
+    physical = p[p.index("== Physical Plan =="):]
+    assert "StateStoreSave" in physical and "StateStoreRestore" in physical
+    assert "partial_count" in physical and "EventTimeWatermark" in physical
+    assert "BroadcastHashJoin" in physical and "LeftAnti" in physical
+    assert "EvalPython" not in physical
