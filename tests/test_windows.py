@@ -53,3 +53,14 @@ def test_thresholds_are_parameters(spark):
     ev = clicks(spark, SF001)
     strict = flagged_windows(ev, DAILY, Thresholds(max_amount=1000, max_rate=1e9, max_categories=1000))
     assert strict.count() == 0
+
+
+def test_approx_distinct_mode(spark):
+    ev = clicks(spark, SF001)
+    exact = window_features(ev, DAILY, "exact").withColumnRenamed("categories", "exact")
+    approx = window_features(ev, DAILY, "approx").withColumnRenamed("categories", "approx")
+    assert dict(approx.dtypes)["approx"] == "int"
+    joined = exact.join(approx, ["window", "ipAddress"])
+    assert joined.count() == 8099
+    worst = joined.select(F.max(F.abs(F.col("approx") - F.col("exact")) / F.col("exact"))).first()[0]
+    assert worst <= 0.1  # HyperLogLog++ at its default 5% relative error
