@@ -8,8 +8,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Defaults applied by ``get_session``; each is only a default, a value already
-# set on the cluster (spark-defaults, --conf) wins.
+# Settings ``get_session`` puts on the builder (they override spark-defaults
+# for these keys); ``extra`` overrides them. Library functions take any
+# session and do not depend on ``get_session``, only on a UTC session time
+# zone, which the registered queries pin themselves.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
