@@ -26,6 +26,9 @@ DEFAULT_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Commit only the change log per batch, snapshot in the background.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # One memory budget for all RocksDB instances of an executor, however many
+    # state partitions it hosts.
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
 }
 
 
