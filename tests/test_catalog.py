@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from botsieve.plans import catalog
 from botsieve.sources.tables import TEST_TABLES
 from conftest import SF0001
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 
 
 def norm(v):
@@ -35,6 +36,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_module.queries())
 
 
 def test_entry(spark):
