@@ -4,16 +4,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, decontaminate, pii, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_simhash": simhash.op1,
+        "op4_pii": pii.op4,
+        "op7_decontaminate": decontaminate.op7,
         "op9_bpe": bpe.op9,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op7_decontaminate": decontaminate.OP7_SQL,
+    }
