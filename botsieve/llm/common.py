@@ -57,12 +57,13 @@ def struct_array(return_type: list[tuple[str, pa.DataType]], columns: list[list]
     return pa.StructArray.from_arrays(arrays, fields=[pa.field(n, k) for n, k in return_type])
 
 
-def slices(texts: pa.Array, most: int = 1 << 20) -> Iterator[list[bytes]]:
-    """Whole texts of a binary column in runs of about ``most`` bytes."""
+def slices(texts: pa.Array, most: int = 1 << 18, rows: int = 64) -> Iterator[list[bytes]]:
+    """Whole texts of a binary column (null: empty) in runs of about ``most``
+    bytes and at most ``rows`` rows."""
     run, size = [], 0
     for value in texts:
         data = value.as_py() or b""
-        if run and size + len(data) > most:
+        if run and (size + len(data) > most or len(run) == rows):
             yield run
             run, size = [], 0
         run.append(data)
