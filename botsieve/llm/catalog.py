@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, pii, simhash
+from . import bpe, decontaminate, langid, pii, quality, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -12,9 +12,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": simhash.op1,
+        "op2_quality": quality.op2,
         "op4_pii": pii.op4,
         "op7_decontaminate": decontaminate.op7,
+        "op8_toxicity": toxicity.op8,
         "op9_bpe": bpe.op9,
+        "op10_language": langid.op10,
     }
 
 
