@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, langid, pii, quality, simhash, toxicity
+from . import bpe, decontaminate, langid, pii, quality, quality_rules, sharding, simhash, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -13,7 +13,10 @@ def queries() -> dict[str, Query]:
     return {
         "op1_simhash": simhash.op1,
         "op2_quality": quality.op2,
+        "op3_sharding": sharding.op3,
         "op4_pii": pii.op4,
+        "op5_quality_rules": quality_rules.op5,
+        "op6_url_rules": url_rules.op6,
         "op7_decontaminate": decontaminate.op7,
         "op8_toxicity": toxicity.op8,
         "op9_bpe": bpe.op9,
@@ -23,5 +26,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_sharding": sharding.OP3_SQL,
+        "op6_url_rules": url_rules.OP6_SQL,
         "op7_decontaminate": decontaminate.OP7_SQL,
     }
