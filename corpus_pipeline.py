@@ -7,6 +7,7 @@ their input. Limits are those of the operators' contracts.
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from botsieve.llm import bpe, decontaminate, pii, simhash, toxicity
 from botsieve.llm.common import table, written
@@ -28,8 +29,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by its kind."""
-    return pii.mask(docs)
+    """All documents, personal data replaced by its kind (n_chars follows)."""
+    masked = pii.mask(docs)
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
