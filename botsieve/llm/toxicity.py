@@ -108,36 +108,56 @@ def sentences_of(texts: list[bytes], weights: np.ndarray, bias: float):
     return text, logit, starts[first] - begin[text], stops[last] - begin[text]
 
 
+def parts_of(texts: list[bytes], most: int = 1 << 20):
+    """(number of the first text, texts) in runs of about ``most`` bytes."""
+    first, run, size = 0, [], 0
+    for i, data in enumerate(texts):
+        if run and size + len(data) > most:
+            yield first, run
+            first, run, size = i, [], 0
+        run.append(data)
+        size += len(data)
+    if run:
+        yield first, run
+
+
 def fit(texts: list[bytes], y: np.ndarray) -> tuple[np.ndarray, float]:
-    """Word weights and bias that maximise the likelihood of the labels."""
-    place, number, starts, _ = word_places(texts)
-    begin = np.cumsum([0, *(len(t) + 1 for t in texts)])
-    doc = np.searchsorted(begin, starts, side="right") - 1
-    sentence, first, inside = np.unique(number, return_index=True, return_inverse=True)
-    owner = doc[first]
-    # Documents that have each feature, by label.
-    pairs = np.unique((doc.astype(np.int64) << (BITS + 1) | place).ravel())
-    feature, of = pairs & ((2 << BITS) - 1), y[pairs >> (BITS + 1)]
-    n1 = np.bincount(feature[of > 0], minlength=NOTHING + 1)
-    n0 = np.bincount(feature[of == 0], minlength=NOTHING + 1)
-    share = y.mean()
+    """Word weights and bias that maximise the likelihood of the labels. Two
+    passes over the texts: the first counts the documents of each feature, the
+    second keeps the occurrences of the chosen features only."""
+    counts = np.zeros((2, NOTHING + 1))
+    for first, part in parts_of(texts):
+        place, _, starts, _ = word_places(part)
+        doc = np.searchsorted(np.cumsum([0, *(len(t) + 1 for t in part)]), starts, side="right") - 1
+        pairs = np.unique((doc.astype(np.int64) << (BITS + 1) | place).ravel())
+        of = y[first + (pairs >> (BITS + 1))].astype(int)
+        for k in (0, 1):
+            counts[k] += np.bincount(pairs[of == k] & ((2 << BITS) - 1), minlength=NOTHING + 1)
+    (n0, n1), share = counts, y.mean()
     n, t1, t0 = n1 + n0, len(y) * share, len(y) * (1 - share)
     apart = (n1 * (t0 - n0) - n0 * (t1 - n1)) ** 2.0 * len(y)
-    kept = apart >= CHI * np.maximum(n * (len(y) - n) * t1 * t0, 1)
-    odds = (np.log((n1 + PRIOR * share) / (len(y) * share + PRIOR * share))
-            - np.log((n0 + PRIOR * (1 - share)) / (len(y) * (1 - share) + PRIOR * (1 - share))))
-    # Occurrences (sentence, feature) of the kept features only.
-    inside, place = np.broadcast_to(inside, place.shape)[kept[place]], place[kept[place]]
-    pairs = np.unique(inside << (BITS + 1) | place)
-    place = pairs & ((2 << BITS) - 1)
-    found, inside = np.unique(pairs >> (BITS + 1), return_inverse=True)
-    sentence, owner = sentence[found], owner[found]
-    names, column = np.unique(place, return_inverse=True)
-    theta = np.append(np.maximum(odds[names], 0.0) / (1 + len(STEMS)), START)   # the bias is last
+    odds = (np.log((n1 + PRIOR * share) / (t1 + PRIOR * share))
+            - np.log((n0 + PRIOR * (1 - share)) / (t0 + PRIOR * (1 - share))))
+    kept = (apart >= CHI * np.maximum(n * (len(y) - n) * t1 * t0, 1)) & (odds > 0)
+    kept[NOTHING] = False
+    # Sentences with a kept feature: their features and their document.
+    places, inside, owner = [], [], []
+    for first, part in parts_of(texts):
+        place, number, starts, _ = word_places(part)
+        doc = np.searchsorted(np.cumsum([0, *(len(t) + 1 for t in part)]), starts, side="right") - 1
+        stem, word = np.nonzero(kept[place])
+        pairs = np.unique(number[word].astype(np.int64) << (BITS + 1) | place[stem, word])
+        sentence, at = np.unique(pairs >> (BITS + 1), return_inverse=True)
+        places.append(pairs & ((2 << BITS) - 1))
+        inside.append(at + sum(map(len, owner)))
+        owner.append(first + doc[np.searchsorted(number, sentence)])
+    places, inside, owner = (np.concatenate(x) for x in (places, inside, owner))
+    names, column = np.unique(places, return_inverse=True)
+    theta = np.append(odds[names] / (1 + len(STEMS)), START)       # the bias is last
     mean, spread = np.zeros_like(theta), np.zeros_like(theta)
     weight = np.where(y > 0, 0.5 / share, 0.5 / (1 - share)) ** 0.5
     for step in range(1, ROUNDS + 1):
-        z = np.bincount(inside, theta[column], len(sentence)) + theta[-1]
+        z = np.bincount(inside, theta[column], len(owner)) + theta[-1]
         total = np.bincount(owner, softplus(z), len(texts))       # -log of no sentence
         miss = np.exp(-total)
         slope = weight * np.where(y > 0, -miss / np.maximum(1 - miss, 1e-9), 1.0)
