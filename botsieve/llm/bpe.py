@@ -24,6 +24,7 @@ import json
 import unicodedata
 from array import array
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,12 +34,13 @@ from .common import batch_udf, struct_array, table, utf8
 
 VOCAB = "word_bpe_49k.json"
 LONG_WORD = 64          # parts; longer words are merged with a heap
-CACHED_WORDS = 300_000  # per task; the cache is emptied when full
-NONE = 1 << 60          # rank of a pair that does not merge
+CACHED_WORDS = 200_000  # per task, of words and of chunks; a cache is emptied when full
+NONE = 1 << 60          # in place of a rank, for a pair that does not merge
+ID_BITS = 20            # a merge is held as one number: rank, then the new id
 
 # Fixed values of the vocabulary file's format: the split pattern (white space
 # as the Unicode property), and the printable characters that stand for bytes.
-WHITE = r"\t-\r \x85\xa0  -     　"
+WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{WHITE}\p{{L}}\p{{N}}]+"
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
@@ -70,10 +72,15 @@ class Encoder(dict):
         symbols = byte_symbols()
         self.inner = [vocab[s] for s in symbols]
         self.last = [vocab[s + end] for s in symbols]
-        self.pairs = {}
+        # Merges by left id, then right id; ids without merges share one dict.
+        nothing = {}
+        self.right = [nothing] * (max(vocab.values()) + 1)
         for rank, merge in enumerate(model["merges"]):
             a, b = merge if isinstance(merge, list) else merge.split(" ")
-            self.pairs[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            if self.right[vocab[a]] is nothing:
+                self.right[vocab[a]] = {}
+            self.right[vocab[a]][vocab[b]] = rank << ID_BITS | vocab[a + b]
+        self.merged: dict[str, list[int]] = {}
         self.tokens = {i: t for t, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens.update({i: t for t, i in self.special.items()})
@@ -82,9 +89,14 @@ class Encoder(dict):
         self.gaps = regex.compile(f"[{WHITE}]+")
 
     def __missing__(self, chunk: str):
-        ids = []
+        ids, merged = [], self.merged
         for word in self.words.findall(chunk):
-            ids += self.merge(word.encode("utf-8", "surrogatepass"))
+            if (found := merged.get(word)) is None:
+                found = self.merge(word.encode("utf-8", "surrogatepass"))
+                if len(merged) >= CACHED_WORDS:
+                    merged.clear()
+                merged[word] = found
+            ids += found
         entry = (array("I", ids).tobytes(), " ".join([self.tokens[i] for i in ids]))
         if len(self) >= CACHED_WORDS:
             self.clear()
@@ -93,44 +105,40 @@ class Encoder(dict):
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word."""
-        parts = [self.inner[b] for b in word]
+        inner, right = self.inner, self.right
+        parts = [inner[b] for b in word]
         parts[-1] = self.last[word[-1]]
         if len(parts) > LONG_WORD:
             return self.merge_long(parts)
-        pairs = self.pairs
-        none = (NONE, 0)
-        near = [pairs.get(p, none) for p in zip(parts, parts[1:])]
-        while near:
-            best = min(near)
-            if best[0] == NONE:
-                break
+        near = [right[a].get(b, NONE) for a, b in zip(parts, parts[1:])]
+        while near and (best := min(near)) != NONE:
             i = near.index(best)
-            parts[i] = best[1]
+            new = parts[i] = best & ((1 << ID_BITS) - 1)
             del parts[i + 1], near[i]
             if i:
-                near[i - 1] = pairs.get((parts[i - 1], parts[i]), none)
+                near[i - 1] = right[parts[i - 1]].get(new, NONE)
             if i < len(near):
-                near[i] = pairs.get((parts[i], parts[i + 1]), none)
+                near[i] = right[new].get(parts[i + 1], NONE)
         return parts
 
     def merge_long(self, parts: list[int]) -> list[int]:
-        """The same merges for a long word, by a heap of (rank, place)."""
-        size, pairs = len(parts), self.pairs
+        """The same merges for a long word, by a heap of (merge, place)."""
+        size, right = len(parts), self.right
         after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-        heap = [(pairs[p][0], i, p) for i, p in enumerate(zip(parts, parts[1:])) if p in pairs]
+        heap = [(m, i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if (m := right[a].get(b)) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, (a, b) = heapq.heappop(heap)
+            best, i = heapq.heappop(heap)
             j = after[i]
-            if parts[i] != a or j >= size or parts[j] != b:
+            if j >= size or parts[i] is None or right[parts[i]].get(parts[j]) != best:
                 continue  # one of the two has merged with another part
-            parts[i], parts[j] = pairs[a, b][1], None
+            parts[i], parts[j] = best & ((1 << ID_BITS) - 1), None
             after[i] = after[j]
             if after[j] < size:
                 before[after[j]] = i
-            for left, right in ((before[i], i), (i, after[i])):
-                if left >= 0 and right < size and (p := (parts[left], parts[right])) in pairs:
-                    heapq.heappush(heap, (pairs[p][0], left, p))
+            for a, b in ((before[i], i), (i, after[i])):
+                if a >= 0 and b < size and (m := right[parts[a]].get(parts[b])) is not None:
+                    heapq.heappush(heap, (m, a))
         return [p for p in parts if p is not None]
 
     def pieces(self, text: str):
@@ -154,7 +162,9 @@ class Encoder(dict):
                 piece = unicodedata.normalize("NFC", piece)
             # Letter by letter: no final form of sigma.
             piece = piece.replace("Σ", "σ").lower()
-            chunks = [c for c in self.gaps.split(piece) if c]
+            # Python's own split also cuts at four control characters.
+            odd = any(c in piece for c in "\x1c\x1d\x1e\x1f")
+            chunks = [c for c in self.gaps.split(piece) if c] if odd else piece.split()
             out += [e for e in map(self.__getitem__, chunks) if e[0]]
         return out
 
@@ -187,8 +197,9 @@ def encode_column(spec, text: str | Column) -> Column:
 
         def run(texts):
             rows = [encoder.encode((t.as_py() or b"").decode("utf-8", "replace")) for t in texts]
-            return struct_array(kinds, [[array("i", ids).tolist() if ids else [] for ids, _ in rows],
-                                        [decoded for _, decoded in rows]])
+            ends = np.cumsum([0, *(len(ids) // 4 for ids, _ in rows)], dtype=np.int32)
+            ids = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join([ids for ids, _ in rows]), "<i4"))
+            return struct_array(kinds, [ids, [decoded for _, decoded in rows]])
         return run
     return batch_udf(make, "ids array<int>, decoded string")(utf8(text))
 

@@ -2,7 +2,9 @@
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from botsieve.session import work_dir
 # Words of the digest contracts: runs without ASCII white space.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
+RUN_BYTES = 1 << 20
+BATCH_KEY, BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -34,42 +38,57 @@ def utf8(col: str | Column) -> Column:
     return F.coalesce(col.cast("binary"), F.lit(b""))
 
 
-def batch_udf(make: Callable[[], Callable[..., pa.Array]], return_type: str, columns: int = 1):
+def batch_udf(make: Callable[[], Callable[..., pa.Array]], return_type: str, columns: int = 1) -> Callable[..., Column]:
     """An Arrow UDF whose ``make()`` runs once per task and gives the function
-    from Arrow columns to one Arrow column. Batches hold at most 64 MB
-    (``spark.sql.execution.arrow.maxBytesPerBatch``) or one longer row."""
+    from Arrow columns to one Arrow column. The function sees rows in runs of
+    about ``RUN_BYTES`` of the first column (or one longer row), so what a task
+    holds at once does not grow with the rows of a partition."""
+    small_batches(SparkSession.active())
     if columns == 1:
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             f = make()
             for batch in batches:
-                yield f(batch)
+                for a, b in runs(batch):
+                    yield f(batch[a:b])
     else:
         def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
             f = make()
             for batch in batches:
-                yield f(*batch)
+                for a, b in runs(batch[0]):
+                    yield f(*(column[a:b] for column in batch))
     return F.arrow_udf(run, return_type)
 
 
-def struct_array(return_type: list[tuple[str, pa.DataType]], columns: list[list]) -> pa.StructArray:
-    """Python columns as one Arrow struct column."""
-    arrays = [pa.array(values, kind) for (_, kind), values in zip(return_type, columns)]
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of 8 MB in place of Spark's default of 64 MB: each task
+    holds a batch several times over, in the JVM and in Python. A value that
+    the user has set stays."""
+    if spark.conf.get(BATCH_KEY) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_KEY, "8m")
+
+
+def runs(texts: pa.Array, most: int = RUN_BYTES, rows: int = 4096) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of about ``most`` bytes and at most ``rows`` rows."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(ends):
+        full = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right"))
+        stop = max(at + 1, min(at + rows, full))
+        yield at, stop
+        at = stop
+
+
+def struct_array(return_type: list[tuple[str, pa.DataType]], columns: list) -> pa.StructArray:
+    """Python or Arrow columns as one Arrow struct column."""
+    arrays = [values if isinstance(values, pa.Array) else pa.array(values, kind) for (_, kind), values in zip(return_type, columns)]
     return pa.StructArray.from_arrays(arrays, fields=[pa.field(n, k) for n, k in return_type])
 
 
 def slices(texts: pa.Array, most: int = 1 << 18, rows: int = 64) -> Iterator[list[bytes]]:
     """Whole texts of a binary column (null: empty) in runs of about ``most``
     bytes and at most ``rows`` rows."""
-    run, size = [], 0
-    for value in texts:
-        data = value.as_py() or b""
-        if run and (size + len(data) > most or len(run) == rows):
-            yield run
-            run, size = [], 0
-        run.append(data)
-        size += len(data)
-    if run:
-        yield run
+    for a, b in runs(texts, most, rows):
+        yield [t.as_py() or b"" for t in texts[a:b]]
 
 
 def fold(col: str, parts: int) -> Column:
