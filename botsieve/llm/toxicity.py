@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch_udf, fold, slices, struct_array, table, utf8
+from .common import RUN_BYTES, batch_udf, fold, slices, struct_array, table, utf8
 from .learn import bounded, training_labels, with_labels
 
 BITS = 17
@@ -211,7 +211,7 @@ def toxicity_column(spark: SparkSession, model, text: str | Column) -> Column:
 
         def run(texts):
             scores, counts, spans = [], [], []
-            for part in slices(texts, 1 << 20, 4096):
+            for part in slices(texts, RUN_BYTES, 4096):
                 text, logit, a, b = sentences_of(part, weights, bias)
                 scores += (1 - np.exp(-np.bincount(text, softplus(logit), len(part)))).tolist()
                 found = [[] for _ in part]
