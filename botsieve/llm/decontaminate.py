@@ -213,10 +213,10 @@ def hit_column(spark: SparkSession, items: list, text: str | Column, window: int
 
 def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, text: str = "text",
                   item_id: str = "item_id", item_text: str = "text", out: str = "hits") -> DataFrame:
-    """``docs`` with a struct column ``out``: n_words, n_hit, spans (of word
+    """``docs`` with a struct column ``out`` (in place of one so named): n_words, n_hit, spans (of word
     places), items (ids), longest match and the contaminated flag."""
     spark, parts = docs.sparkSession, []
-    found = list(docs.columns)
+    found = [c for c in docs.columns if c != out]
     listed = blocks(bench, item_id, item_text)
     items = next(listed)
     while items is not None:
