@@ -34,7 +34,7 @@ from .common import batch_udf, struct_array, table, utf8
 
 VOCAB = "word_bpe_49k.json"
 LONG_WORD = 64          # parts; longer words are merged with a heap
-CACHED_WORDS = 200_000  # per task, of words and of chunks; a cache is emptied when full
+CACHED_WORDS = 400_000  # per task (about 80 MB); the cache is emptied when full
 NONE = 1 << 60          # in place of a rank, for a pair that does not merge
 ID_BITS = 20            # a merge is held as one number: rank, then the new id
 
@@ -59,9 +59,10 @@ def byte_symbols() -> list[str]:
 
 
 class Encoder(dict):
-    """Chunks of text without white space -> (ids as bytes, decoded tokens).
+    """Chunks of text without white space -> ids as little-endian bytes.
 
     The mapping is the cache itself: ``self[chunk]`` computes what is missing.
+    A chunk of several words is put together from the words' entries.
     """
 
     def __init__(self, spec: str):
@@ -80,28 +81,25 @@ class Encoder(dict):
             if self.right[vocab[a]] is nothing:
                 self.right[vocab[a]] = {}
             self.right[vocab[a]][vocab[b]] = rank << ID_BITS | vocab[a + b]
-        self.merged: dict[str, list[int]] = {}
-        self.tokens = {i: t for t, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens.update({i: t for t, i in self.special.items()})
+        named = vocab | self.special
+        self.tokens = [""] * (max(named.values()) + 1)
+        for token, i in named.items():
+            self.tokens[i] = token
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.words = regex.compile(WORDS)
         self.gaps = regex.compile(f"[{WHITE}]+")
 
-    def __missing__(self, chunk: str):
-        ids, merged = [], self.merged
-        for word in self.words.findall(chunk):
-            if (found := merged.get(word)) is None:
-                found = self.merge(word.encode("utf-8", "surrogatepass"))
-                if len(merged) >= CACHED_WORDS:
-                    merged.clear()
-                merged[word] = found
-            ids += found
-        entry = (array("I", ids).tobytes(), " ".join([self.tokens[i] for i in ids]))
+    def __missing__(self, chunk: str) -> bytes:
+        words = [chunk] if chunk.isalpha() else self.words.findall(chunk)
+        if words == [chunk]:
+            ids = array("I", self.merge(chunk.encode("utf-8", "surrogatepass"))).tobytes()
+        else:
+            ids = b"".join([self[word] for word in words])
         if len(self) >= CACHED_WORDS:
             self.clear()
-        self[chunk] = entry
-        return entry
+        self[chunk] = ids
+        return ids
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word."""
@@ -152,11 +150,12 @@ class Encoder(dict):
             elif piece:
                 yield None, piece
 
-    def entries(self, text: str) -> list[tuple[bytes, str]]:
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as little-endian 32-bit numbers."""
         out = []
         for special, piece in self.pieces(text):
             if piece is None:
-                out.append((array("I", [special]).tobytes(), self.tokens[special]))
+                out.append(array("I", [special]).tobytes())
                 continue
             if not unicodedata.is_normalized("NFC", piece):
                 piece = unicodedata.normalize("NFC", piece)
@@ -164,19 +163,14 @@ class Encoder(dict):
             piece = piece.replace("Σ", "σ").lower()
             # Python's own split also cuts at four control characters.
             odd = any(c in piece for c in "\x1c\x1d\x1e\x1f")
-            chunks = [c for c in self.gaps.split(piece) if c] if odd else piece.split()
-            out += [e for e in map(self.__getitem__, chunks) if e[0]]
-        return out
-
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """(ids as little-endian 32-bit numbers, tokens joined by spaces)."""
-        entries = self.entries(text)
-        return b"".join([e[0] for e in entries]), " ".join([e[1] for e in entries])
+            out += map(self.__getitem__, [c for c in self.gaps.split(piece) if c] if odd else piece.split())
+        return b"".join(out)
 
     def decode(self, ids) -> str:
         """The tokens' strings joined by spaces; the file names no decoder, so
         this is what the vocabulary's own library returns."""
-        return " ".join([self.tokens[i] for i in ids])
+        tokens = self.tokens
+        return " ".join([tokens[i] for i in ids])
 
 
 def vocabulary(spark: SparkSession, path: str | None = None):
@@ -197,9 +191,9 @@ def encode_column(spec, text: str | Column) -> Column:
 
         def run(texts):
             rows = [encoder.encode((t.as_py() or b"").decode("utf-8", "replace")) for t in texts]
-            ends = np.cumsum([0, *(len(ids) // 4 for ids, _ in rows)], dtype=np.int32)
-            ids = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join([ids for ids, _ in rows]), "<i4"))
-            return struct_array(kinds, [ids, [decoded for _, decoded in rows]])
+            ends = np.cumsum([0, *(len(ids) // 4 for ids in rows)], dtype=np.int32)
+            ids = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(rows), "<i4"))
+            return struct_array(kinds, [ids, [encoder.decode(memoryview(ids).cast("I")) for ids in rows]])
         return run
     return batch_udf(make, "ids array<int>, decoded string")(utf8(text))
 
@@ -214,7 +208,8 @@ def digest_column(spec, text: str | Column) -> Column:
         def run(texts):
             n, ids_sha, text_sha = [], [], []
             for t in texts:
-                ids, decoded = encoder.encode((t.as_py() or b"").decode("utf-8", "replace"))
+                ids = encoder.encode((t.as_py() or b"").decode("utf-8", "replace"))
+                decoded = encoder.decode(memoryview(ids).cast("I"))
                 n.append(len(ids) // 4)
                 ids_sha.append(hashlib.sha256(ids).hexdigest())
                 text_sha.append(hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest())
