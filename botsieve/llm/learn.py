@@ -33,6 +33,6 @@ def bounded(df: DataFrame, kind: str, per_class: int, key: Column, classes: dict
 def with_labels(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, text, label) of the documents with a label. The labels go to the
     documents by broadcast if their count allows it; otherwise both sides are
-    shuffled, after the documents without a label are left out."""
+    shuffled by id (ids are near unique, so no task gets a large share)."""
     pairs = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"))
     return pairs.join(F.broadcast(known) if known.count() <= SMALL else known, "id")

@@ -2,7 +2,7 @@
 
 *Features.* Presence of hashed n-grams: of bytes (orders 1 to 4), and of word
 shapes (orders 1 to 3; a shape is how a word is written: case, digits, signs,
-length, and whether it repeats one of the words shortly before it).
+and which of the words shortly before it it repeats).
 
 *Log-count ratios.* For each feature the log of the ratio of its smoothed
 share among the good and among the bad labelled texts. The counts cover all
@@ -21,6 +21,8 @@ ids with several labels count as bad if one of them is; without both classes
 among the labels every score is 0.5 (nothing can be learned).
 """
 
+from zlib import crc32
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,13 +45,15 @@ SHAPE = bytes(ord("A") if 0x41 <= b <= 0x5A else ord("a") if 0x61 <= b <= 0x7A o
               ord("0") if 0x30 <= b <= 0x39 else ord(",") if b in b".,;:!?'\"-()" else b for b in range(256))
 
 
-def shape(word: bytes) -> bytes:
-    """The word's classes with runs cut to one, e.g. ``Aa``, ``a%``, ``A!``."""
-    classes, out = word.translate(SHAPE), []
-    for c in classes[:64]:
-        if not out or out[-1] != c:
-            out.append(c)
-    return bytes(out)
+SHAPE_ARRAY = np.frombuffer(SHAPE, np.uint8)
+
+
+def shapes_of(data: bytes) -> list[bytes]:
+    """The shape of each word: its classes with runs cut to one (``Aa``, ``a%``)."""
+    classes = SHAPE_ARRAY[np.frombuffer(data, np.uint8)]
+    first = np.ones(len(classes), bool)
+    first[1:] = classes[1:] != classes[:-1]
+    return classes[first].tobytes().split()
 
 
 class Features:
@@ -57,27 +61,16 @@ class Features:
 
     def __init__(self):
         self.grams = Presence(ORDERS, BITS)
-        self.shapes: dict[bytes, int] = {}
-
-    def code(self, word: bytes) -> int:
-        """A 20-bit code of the word's shape."""
-        if (found := self.shapes.get(word)) is None:
-            if len(self.shapes) > 200_000:
-                self.shapes.clear()
-            found = 7
-            for c in shape(word):
-                found = (found * 257 + c) % 1048573
-            self.shapes[word] = found
-        return found
 
     def mark_shapes(self, data: bytes, flags: np.ndarray) -> None:
         words = data.split()
         if not words:
             return
-        codes = np.fromiter(map(self.code, words), np.uint64, len(words))
-        sames = np.fromiter(map(hash_word, words), np.int64, len(words))
+        codes = np.fromiter(map(crc32, shapes_of(data)), np.uint64, len(words))
+        # Equal neighbours by their hash within this process.
+        sames = np.fromiter(map(hash, words), np.int64, len(words))
         for back in range(1, min(BACK, len(words) - 1) + 1):
-            codes[back:] += np.where(sames[back:] == sames[:-back], np.uint64(back << 20), np.uint64(0))
+            codes[back:] += np.where(sames[back:] == sames[:-back], np.uint64(back << 32), np.uint64(0))
         mixed = codes * np.uint64(0x9E3779B97F4A7C15)
         run = mixed
         for n in SHAPE_ORDERS:
@@ -95,11 +88,6 @@ class Features:
         return out
 
 
-def hash_word(word: bytes) -> int:
-    """A number of a word, for comparing neighbours within one process."""
-    return hash(word)
-
-
 def log_ratios(n_good: np.ndarray, n_bad: np.ndarray) -> np.ndarray:
     p, q = n_good + SMOOTH, n_bad + SMOOTH
     return np.log(p / p.sum()) - np.log(q / q.sum())
@@ -221,7 +209,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()]), pa.array([slope]), pa.array([offset])],
                                          names=["w", "slope", "offset"])
 
-    model = (with_labels(docs, chosen, id_col, text).select(utf8("text").alias("text"), "label").coalesce(64)
+    model = (with_labels(docs, chosen, id_col, text).select(utf8("text").alias("text"), "label")
              .repartition(1).mapInArrow(learn, "w binary, slope double, offset double").collect())
     known.unpersist()
     if not model:
@@ -235,19 +223,17 @@ def score_column(spark: SparkSession, model, text: str | Column) -> Column:
     ratios, w, slope, offset = model
     size = len(ratios)
     # Columns: weight of each indicator, and its part of the squared length.
-    table_ = np.stack([ratios * w[:size], ratios ** 2], 1).astype(np.float32)
-    shared = spark.sparkContext.broadcast((table_, float(w[size]), slope, offset))
+    parts = np.stack([ratios * w[:size], ratios ** 2], 1)
+    shared = spark.sparkContext.broadcast((parts, float(w[size]), slope, offset))
 
     def make():
-        (weights, bias, slope, offset), features = shared.value, Features()
+        (parts, bias, slope, offset), features = shared.value, Features()
 
         def run(texts):
-            scores = []
-            for part in slices(texts):
-                sums = features.matrix(part).astype(np.float32) @ weights
-                margin = sums[:, 0] / np.sqrt(np.maximum(sums[:, 1], 1e-12)) + bias
-                scores.append(1 / (1 + np.exp(-np.clip(slope * margin.astype(float) + offset, -30, 30))))
-            return pa.array(np.concatenate(scores) if scores else np.zeros(0), pa.float64())
+            sums = np.array([parts[np.flatnonzero(row)].sum(axis=0) for part in slices(texts)
+                             for row in features.matrix(part)]).reshape(-1, 2)
+            margin = sums[:, 0] / np.sqrt(np.maximum(sums[:, 1], 1e-12)) + bias
+            return pa.array(1 / (1 + np.exp(-np.clip(slope * margin + offset, -30, 30))), pa.float64())
         return run
     return batch_udf(make, "double")(utf8(text))
 
