@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import table, written
 
 SHARDS, SEED = 8, 17
-ROWS = 10_000      # rows of a bucket
+ROWS, RUN = 1000, 1000   # rows of a bucket, buckets of a run
 HASH_BITS = 60     # 15 hexadecimal digits of an MD5
 
 
@@ -40,12 +40,18 @@ def shuffle_hash(id_col: str, text: str, seed: int) -> Column:
 def bucketed_rank(rows: DataFrame, within: list[str], bucket: str, order: list) -> DataFrame:
     """``rows`` with ``__rank`` from 1 and the size ``__n`` of each ``within``.
     Buckets follow the order; ranks are local to a bucket, and the buckets
-    before it are added. Rows are shuffled once, by bucket; what is summed up
-    in order are the buckets' counts, a row for each ``ROWS`` rows."""
-    counts = rows.groupBy(*within, bucket).count()
+    before it are added. Rows are shuffled once, by bucket. The counts (a row
+    per bucket) are summed up in order inside runs of ``RUN`` buckets, and the
+    runs' totals among each other, so no task sums up more than a row for each
+    ``ROWS * RUN`` rows."""
+    counts = rows.groupBy(*within, bucket).count().withColumn("__run", F.floor(F.col(bucket) / RUN))
+    runs = counts.groupBy(*within, "__run").agg(F.sum("count").alias("c"))
     group = Window.partitionBy(*within)
-    counts = counts.select(*within, bucket, F.sum("count").over(group).alias("__n"),
-                           (F.sum("count").over(group.orderBy(bucket)) - F.col("count")).alias("__before"))
+    runs = runs.select(*within, "__run", F.sum("c").over(group).alias("__n"),
+                       (F.sum("c").over(group.orderBy("__run")) - F.col("c")).alias("__runs_before"))
+    inside = F.sum("count").over(Window.partitionBy(*within, "__run").orderBy(bucket)) - F.col("count")
+    counts = counts.withColumn("__inside", inside).join(runs, [*within, "__run"]).select(
+        *within, bucket, "__n", (F.col("__runs_before") + F.col("__inside")).alias("__before"))
     local = F.row_number().over(Window.partitionBy(*within, bucket).orderBy(*order))
     return rows.join(counts, [*within, bucket]).withColumn("__rank", local + F.col("__before")).drop("__before", bucket)
 
