@@ -31,12 +31,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch_udf, fold, slices, struct_array, table, utf8
+from .common import batch_udf, fold, slices, struct_array, table, utf8, written
 from .grams import Presence
 from .learn import bounded
 
 BITS, ORDERS = 15, (1, 2, 3, 4)
 LANDMARKS, SAMPLE = 64, 2000     # per language
+MOST = 512                       # landmarks in all, shared evenly among many languages
 RIDGE, FLOOR = 1e-3, 1e-6        # of the mean diagonal; smallest eigenvalue kept
 PARTS = 8
 FOLDS, HELD, NONE = 4, 2, "und"
@@ -78,7 +79,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
     names = sorted(counts)
     rows = rows.filter(F.col("text").rlike(r"\p{L}"))
     key = F.coalesce(F.col("id").cast("string"), F.lit(""))
-    places = 1 << BITS
+    # The texts are scanned once; landmarks are taken from the sample.
+    chosen = written(bounded(rows, "lang", sample, key, counts).select("id", utf8("text").alias("text"), "lang"), "sample")
 
     def pack(batches):
         grams = Presence(ORDERS, BITS)
@@ -87,8 +89,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
                       for row in grams.matrix([letters(t) for t in part])]
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], names=["row"])
 
-    chosen = bounded(rows, "lang", landmarks, F.concat(key, F.lit(" landmark")), counts)
-    marks = chosen.select(utf8("text").alias("text")).mapInArrow(pack, "row binary").distinct().collect()
+    landmarks = max(1, min(landmarks, MOST // len(names)))
+    marked = bounded(chosen, "lang", landmarks, F.concat(key, F.lit(" landmark")))
+    marks = marked.select("text").mapInArrow(pack, "row binary").distinct().collect()
     if not marks:
         return None
     packed = sorted(bytes(r["row"]) for r in marks)
@@ -118,8 +121,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
         yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()]), pa.array([b.tobytes()]), pa.array([n])],
                                          names=["a", "b", "n"])
 
-    chosen = bounded(rows, "lang", sample, key, counts).select(utf8("text").alias("text"), "lang")
-    parts = chosen.coalesce(PARTS).mapInArrow(sums, "a binary, b binary, n bigint").collect()
+    parts = chosen.select("text", "lang").repartition(PARTS, F.xxhash64("text")).mapInArrow(sums, "a binary, b binary, n bigint").collect()
     a = sum(np.frombuffer(p["a"]).reshape(len(z), len(z)) for p in parts)
     b = sum(np.frombuffer(p["b"]).reshape(len(z), len(names)) for p in parts)
     a, b = root @ a @ root, root @ b
