@@ -27,6 +27,8 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_sharding": sharding.OP3_SQL,
+        "op4_pii": pii.OP4_SQL,
+        "op5_quality_rules": quality_rules.OP5_SQL,
         "op6_url_rules": url_rules.OP6_SQL,
         "op7_decontaminate": decontaminate.OP7_SQL,
     }

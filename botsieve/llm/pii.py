@@ -296,3 +296,70 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = docs.select("doc_id", digest_column("text").alias("d"))
     return out.select("doc_id", *[f"d.n_{k}" for k in BASE], "d.base_sha256", "d.spans")
+
+
+def forms_sql(cues: tuple) -> str:
+    return "|".join(dict.fromkeys(f for c in cues for f in (c, c.title(), c.upper())))
+
+
+SECRET_SQL = r"[A-Za-z0-9_\-./+=]+"
+# Kind and pattern: where a match begins and ends in the text. Each pattern's
+# matches are found without overlaps, so two cues inside one value may differ
+# from the parsers, which try every cue; the tests cover those by hand.
+FOUND_SQL = ((0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"), (1, r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)"),
+             (2, r"[0-9](?:[\x20-]?[0-9])+"), (3, r"\+[0-9][\x20().0-9-]+[0-9]"),
+             (4, r"://[A-Za-z0-9._%+-]+:" + SECRET_SQL + "@"), (5, "AKIA[A-Za-z0-9]+"),
+             (6, f"(?:{forms_sql(VALUE_CUES)}) *[=:] *[\"'']?{SECRET_SQL}"), (7, f"(?:{forms_sql(NUMBER_CUES)})[^0-9]{{0,{GAP - 1}}}[0-9]+"),
+             (8, f"(?:{forms_sql(('iban',))})[ :]*[A-Za-z0-9 ]+"))
+
+# Luhn, and the IBAN remainder of the first n characters, by list functions.
+LUHN_SQL = ("list_sum(list_transform(range(1, length(digits) + 1), lambda i: CAST(digits[length(digits) + 1 - i] AS INTEGER) "
+            "* (CASE WHEN i % 2 = 0 THEN 2 ELSE 1 END) - CASE WHEN i % 2 = 0 AND digits[length(digits) + 1 - i] > '4' THEN 9 ELSE 0 END)) % 10 = 0")
+MOD97_SQL = ("list_reduce(list_concat([CAST(0 AS BIGINT)], list_transform(string_split(upper(replace(substr(v, 5, n - 4) || substr(v, 1, 4), ' ', '')), ''), "
+             "lambda c: CAST(CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END AS BIGINT))), "
+             "lambda a, c: (a * (CASE WHEN c > 9 THEN 100 ELSE 10 END) + c) % 97) = 1")
+
+OP4_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+lists AS (
+  {' UNION ALL '.join(f"SELECT rid, {k} AS k, regexp_extract_all(text, '{x}') AS ms, string_split_regex(text, '{x}') AS gs FROM d" for k, x in FOUND_SQL)}),
+places AS (
+  SELECT rid, k, ms[i] AS m,
+         list_sum(list_transform(gs[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS a
+  FROM (SELECT rid, k, ms, gs, unnest(range(1, len(ms) + 1)) AS i FROM lists)),
+base AS (
+  SELECT rid, k, a, a + length(m) AS b FROM (SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS digits FROM places WHERE k < 4)
+  WHERE CASE k WHEN 1 THEN list_max(list_transform(string_split(m, '.'), lambda x: CASE WHEN length(ltrim(x, '0')) > 3 THEN 999
+                             WHEN ltrim(x, '0') = '' THEN 0 ELSE CAST(ltrim(x, '0') AS INTEGER) END)) <= 255
+             WHEN 2 THEN length(digits) BETWEEN 14 AND 19 AND {LUHN_SQL}
+             WHEN 3 THEN length(digits) BETWEEN 10 AND 15 ELSE true END),
+-- What the parsers take of a cue's match: its text and the characters before.
+value AS (
+  SELECT rid, k, m, a, CASE k WHEN 4 THEN substr(m, 4, length(m) - 4) WHEN 5 THEN m
+    WHEN 6 THEN rtrim(regexp_extract(m, '^[A-Za-z_-]+ *[=:] *["'']?(.*)$', 1), '.') WHEN 7 THEN regexp_extract(m, '[0-9]+$')
+    ELSE regexp_extract(m, '^[A-Za-z]{{4}}[ :]*(.*)$', 1) END AS v,
+    CASE k WHEN 4 THEN 3 WHEN 5 THEN 0 WHEN 6 THEN length(regexp_extract(m, '^[A-Za-z_-]+ *[=:] *["'']?'))
+    WHEN 7 THEN length(m) - length(regexp_extract(m, '[0-9]+$')) ELSE length(regexp_extract(m, '^[A-Za-z]{{4}}[ :]*')) END AS skip
+  FROM places WHERE k > 3),
+iban AS (
+  SELECT rid, a, skip, min(n) AS n FROM (
+    SELECT rid, a, skip, v, unnest(range(15, length(v) + 1)) AS n FROM value WHERE k = 8)
+  WHERE length(replace(substr(v, 1, n), ' ', '')) BETWEEN 15 AND 34 AND substr(v, n, 1) <> ' ' AND regexp_matches(v, '^[A-Za-z]{{2}}[0-9]{{2}}')
+    AND {MOD97_SQL} AND NOT regexp_matches(substr(v, n + 1, 1), '[A-Za-z0-9]') GROUP BY rid, a, skip),
+added AS (
+  SELECT DISTINCT rid, CASE k WHEN 4 THEN 4 ELSE 5 END AS k, a + skip AS a, a + skip + length(v) AS b FROM value
+  WHERE CASE k WHEN 4 THEN true WHEN 5 THEN length(v) = 20 AND upper(v) = v
+             WHEN 6 THEN length(v) >= {LEAST_VALUE} AND regexp_matches(v, '[0-9]') WHEN 7 THEN length(v) >= {LEAST_NUMBER} ELSE false END
+  UNION SELECT rid, 5, a + skip, a + skip + n FROM iban),
+free AS (SELECT * FROM added x WHERE NOT EXISTS (SELECT 1 FROM base y WHERE y.rid = x.rid AND y.a < x.b AND x.a < y.b)),
+kept AS (
+  SELECT * FROM free x WHERE NOT EXISTS (SELECT 1 FROM free y WHERE y.rid = x.rid AND y.a < x.b AND x.a < y.b AND (y.a, y.k, y.b) < (x.a, x.k, x.b))),
+spans AS (SELECT * FROM base UNION ALL SELECT * FROM kept),
+listed AS (
+  SELECT rid, {', '.join(f"count(*) FILTER (k = {i}) AS n_{n}" for i, n in enumerate(BASE))},
+         string_agg({(name := f"{list(KINDS)}[k + 1]")} || ':' || a || ':' || b, ',' ORDER BY a, k, b) FILTER (k < 4) AS base,
+         string_agg({name} || ':' || a || ':' || b, ',' ORDER BY a, k, b) AS spans FROM spans GROUP BY rid)
+SELECT doc_id, {', '.join(f"CAST(coalesce(n_{n}, 0) AS BIGINT) AS n_{n}" for n in BASE)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN listed ON listed.rid = d.rid
+"""

@@ -37,7 +37,7 @@ SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 3
 # Ratio -> smallest distance from the quartile that can fail.
 SLACK = {"symbol_ratio": 0.05, "line_ratio": 0.5, "repeat_ratio": 0.45, "word_length": 3.0}
-FENCE, LEAST, ACCURACY = 4.0, 50, 1000
+FENCE, LEAST, ACCURACY = 4.0, 50, 10_000
 SMALL = 100_000                         # threshold rows that may be broadcast
 
 
@@ -110,7 +110,7 @@ def thresholds(metrics: DataFrame) -> DataFrame:
     group, lang, whole = (levels.filter(F.col("level") == k).select(
         *[F.col(c) for c in keys], F.struct("n", *RATIOS).alias(name))
         for k, keys, name in ((0, ["__lang", "__source"], "own"), (1, ["__lang"], "lang"), (3, [], "all")))
-    own = group.join(lang, "__lang").join(F.broadcast(whole), F.lit(True))   # ``whole`` is one row
+    own = group.join(lang, "__lang").withColumn("__one", F.lit(0)).join(F.broadcast(whole.withColumn("__one", F.lit(0))), "__one")
     picked = F.when(F.col("own.n") >= LEAST, F.col("own")).when(F.col("lang.n") >= LEAST, F.col("lang")).otherwise(F.col("all"))
     own = own.select("__lang", "__source", picked.alias("q"))
     bounds = []
@@ -141,3 +141,45 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                               "base_failed", "kept")
+
+
+def limits_sql() -> str:
+    """Lower and upper bound of each ratio from its level's quartiles."""
+    out = []
+    for r in RATIOS:
+        low, high = (f"CASE WHEN own.n >= {LEAST} THEN own.{r}_{e} WHEN lang.n >= {LEAST} THEN lang.{r}_{e} ELSE whole.{r}_{e} END"
+                     for e in ("low", "high"))
+        reach = f"greatest({FENCE} * (({high}) - ({low})), {SLACK[r]})"
+        out += [f"({low}) - {reach} AS low_{r}", f"({high}) + {reach} AS high_{r}"]
+    return ", ".join(out)
+
+
+QUARTILES_SQL = ", ".join(f"quantile_disc({r}, {q}) FILTER (NOT base_failed) AS {r}_{e}"
+                          for r in RATIOS for q, e in ((0.25, "low"), (0.75, "high")))
+
+OP5_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '') AS lang, coalesce('=' || source, '') AS source,
+         coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^{SPACE[1:-1]}]')) AS l FROM documents),
+win AS (
+  SELECT rid, i, count(*) OVER (PARTITION BY rid, w[i], w[i + 1], w[i + 2]) AS n
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+rep AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM win WHERE n > 1) GROUP BY rid),
+m AS (
+  SELECT d.rid, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(text, '{SPACE}+', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '{SYMBOLS}')) AS BIGINT) AS n_symbols, CAST(len(l) AS BIGINT) AS n_lines,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN rep ON rep.rid = d.rid),
+f AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT} * n_words AS base_failed,
+         {', '.join(f"CAST({a} AS DOUBLE) / nullif({b}, 0) AS {r}" for r, (a, b) in RATIOS.items())} FROM m),
+own AS (SELECT lang, source, count(*) FILTER (NOT base_failed) AS n, {QUARTILES_SQL} FROM f GROUP BY lang, source),
+lang AS (SELECT lang, count(*) FILTER (NOT base_failed) AS n, {QUARTILES_SQL} FROM f GROUP BY lang),
+whole AS (SELECT {QUARTILES_SQL} FROM f),
+lim AS (SELECT own.lang, own.source, {limits_sql()} FROM own JOIN lang ON lang.lang = own.lang, whole)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND {' AND '.join(f"coalesce({r} BETWEEN low_{r} AND high_{r}, true)" for r in RATIOS)} AS kept
+FROM f JOIN lim ON lim.lang = f.lang AND lim.source = f.source
+"""
