@@ -8,12 +8,14 @@ plain number, and neighbours with equal hashes are confirmed word by word.
 
 *Thresholds.* Fixed cutoffs are replaced by what is usual in the same language
 and source: quartiles of each metric's ratio come from mergeable quantile
-sketches (``approx_percentile``), built per task and merged per group, and a
-ratio fails beyond ``FENCE`` quartile distances (at least ``SLACK``) outside
-the middle half. A group below ``LEAST`` documents takes its language's
-thresholds, a language below that the corpus'. One query pass builds all three
-levels; each sketch has bounded size, so a group with a third of all rows is
-no larger than another.
+(KLL) sketches, and a ratio fails beyond ``FENCE`` quartile distances (at least
+``SLACK``) outside the middle half. Rows are read once for all levels: every
+task sketches its rows per language and source; those sketches are merged in
+``LANES`` lanes per group, the lanes per group, the groups per language, and
+the languages for the corpus. A sketch has bounded size (rank error about
+``2 / K``; exact up to ``K`` rows), so a group with a third of all rows costs
+its task no more than another. A group below ``LEAST`` documents takes its
+language's thresholds, a language below that the corpus'.
 
 *Filtering.* Thresholds are joined to the metrics (without texts): by
 broadcast while their count is at most ``SMALL``, else by a shuffle whose
@@ -37,7 +39,8 @@ SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 3
 # Ratio -> smallest distance from the quartile that can fail.
 SLACK = {"symbol_ratio": 0.05, "line_ratio": 0.5, "repeat_ratio": 0.45, "word_length": 3.0}
-FENCE, LEAST, ACCURACY = 4.0, 50, 10_000
+FENCE, LEAST = 4.0, 50
+K, LANES = 2000, 256
 SMALL = 100_000                         # threshold rows that may be broadcast
 
 
@@ -99,18 +102,32 @@ def group_key(col: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(f"`{col}`").cast("string")), F.lit(""))
 
 
+def merged(sketches: DataFrame, *keys: str) -> DataFrame:
+    """Counts and sketches brought together by ``keys``."""
+    return sketches.groupBy(*keys).agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(r).alias(r) for r in RATIOS])
+
+
+def quartiles(ratio: str) -> Column:
+    """The first and third quartile of a sketch (null without rows)."""
+    ranks = F.array(F.lit(0.25), F.lit(0.75))
+    return F.when(F.kll_sketch_get_n_double(ratio) > 0, F.kll_sketch_get_quantile_double(F.col(ratio), ranks)).alias(ratio)
+
+
 def thresholds(metrics: DataFrame) -> DataFrame:
     """(lang, source, low_*, high_*) for every group of ``metrics`` (a table
     with keys ``__lang`` and ``__source``, metrics and ``base_failed``)."""
     fine = ~F.col("base_failed")
-    sketches = [F.percentile_approx(F.when(fine, F.try_divide(F.col(a), F.col(b))), [0.25, 0.75], ACCURACY).alias(r)
-                for r, (a, b) in RATIOS.items()]
-    levels = written(metrics.rollup("__lang", "__source").agg(
-        F.grouping_id().alias("level"), F.count_if(fine).alias("n"), *sketches), "sketches")
-    group, lang, whole = (levels.filter(F.col("level") == k).select(
-        *[F.col(c) for c in keys], F.struct("n", *RATIOS).alias(name))
-        for k, keys, name in ((0, ["__lang", "__source"], "own"), (1, ["__lang"], "lang"), (3, [], "all")))
-    own = group.join(lang, "__lang").withColumn("__one", F.lit(0)).join(F.broadcast(whole.withColumn("__one", F.lit(0))), "__one")
+    # A row per task and group first: the lane is the task's number.
+    lane = metrics.withColumn("__lane", F.spark_partition_id() % LANES).groupBy("__lang", "__source", "__lane").agg(
+        F.count_if(fine).alias("n"), *[F.kll_sketch_agg_double(F.when(fine, F.try_divide(F.col(a), F.col(b))), F.lit(K)).alias(r)
+                                       for r, (a, b) in RATIOS.items()])
+    own = merged(lane, "__lang", "__source")
+    sketches = written(own, "sketches")
+    lang = merged(sketches, "__lang")
+    whole = merged(lang)
+    own, lang, whole = (df.select(*keys, F.struct("n", *[quartiles(r) for r in RATIOS]).alias(name)) for df, keys, name in (
+        (sketches, ["__lang", "__source"], "own"), (lang, ["__lang"], "lang"), (whole, [F.lit(0).alias("__one")], "all")))
+    own = own.join(lang, "__lang").withColumn("__one", F.lit(0)).join(F.broadcast(whole), "__one")   # ``whole`` is one row
     picked = F.when(F.col("own.n") >= LEAST, F.col("own")).when(F.col("lang.n") >= LEAST, F.col("lang")).otherwise(F.col("all"))
     own = own.select("__lang", "__source", picked.alias("q"))
     bounds = []
