@@ -4,7 +4,7 @@ LONG = ("alpha beta gamma delta " * 20_000) + "x" * 50_000
 ENGLISH = "the house is near the river and the children walk along the water every morning before school"
 GERMAN = "das haus steht am fluss und die kinder gehen jeden morgen vor der schule am wasser entlang"
 SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, label string, id string, "
-          "score string, fp string, row string, count string, token string, rule string")
+          "score string, fp string, row string, count string, hits string, rule string")
 
 
 def edge_rows():

@@ -35,10 +35,10 @@ def test_encoder_against_the_library():
     texts += ["<|endoftext|> Hi <|startoftext|>x<|endoftext|>", "<|startoftext", "don't it's WE'LL 4½ ΑΣ İ", "x" * 3000,
               "ab" * 400 + "!" * 300, "日本語 🤖👩‍👩‍👧"]
     for text in texts:
-        ids, decoded = enc.encode(text)
+        ids = enc.encode(text)
         want = lib.encode(text, add_special_tokens=False).ids
         assert [int.from_bytes(ids[i:i + 4], "little") for i in range(0, len(ids), 4)] == want
-        assert decoded == lib.decode(want, skip_special_tokens=False) == enc.decode(want)
+        assert enc.decode(want) == lib.decode(want, skip_special_tokens=False)
 
 
 def test_long_words_merge_alike():
@@ -55,7 +55,7 @@ def test_long_words_merge_alike():
 def test_cache_is_bounded(monkeypatch):
     monkeypatch.setattr(bpe, "CACHED_WORDS", 10)
     enc = bpe.Encoder(open(PATH, encoding="utf-8").read())
-    assert enc.encode(" ".join(f"word{i}" for i in range(100)))[0] and len(enc) <= 11
+    assert enc.encode(" ".join(f"word{i}" for i in range(100))) and len(enc) <= 11
 
 
 def test_query_and_edge_cases(spark, tmp_path):

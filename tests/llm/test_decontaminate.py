@@ -92,3 +92,11 @@ def test_limits(spark):
     assert cut[3].text is None
     long = rows_of(d.decontaminate(docs, bench, max_span=50))
     assert long[2].text.startswith("w0 ")
+
+
+def test_clashing_column_is_replaced(spark):
+    docs = edge_docs(spark)
+    found = d.contamination(docs, spark.createDataFrame([(1, ITEM)], BENCH))
+    assert sorted(found.columns) == sorted(docs.columns) and found.schema["hits"].dataType.typeName() == "struct"
+    kept = d.decontaminate(docs, spark.createDataFrame([(1, ITEM)], BENCH))
+    assert kept.columns == docs.columns and kept.count() == docs.count()
