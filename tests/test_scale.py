@@ -6,7 +6,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_module
+from botsieve.plans import catalog
 from botsieve.operators.blocklist import antijoin_bots
 from botsieve.operators.windows import window_features
 from botsieve.params import DAILY
@@ -61,7 +61,7 @@ def test_hot_address_anti_join_without_broadcast(spark):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    q = entry_module.queries()
+    q = catalog.queries()
     p = plan(q["table_filter"](spark, SF001))
     assert "PushedFilters: [IsNotNull(l_shipdate), IsNotNull(l_discount), IsNotNull(l_quantity), " \
            "GreaterThanOrEqual(l_shipdate" in p
@@ -78,9 +78,9 @@ def test_time_slices_reach_the_scan(spark):
     assert "LessThan(ts,2024-01-15T00:00)" in p
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_module.queries()) - STREAMING_KEYS))
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - STREAMING_KEYS))
 def test_no_python_in_query_plans(spark, name):
-    p = plan(entry_module.queries()[name](spark, SF001))
+    p = plan(catalog.queries()[name](spark, SF001))
     assert "EvalPython" not in p and "PythonUDF" not in p and "FlatMapGroupsInPandas" not in p
 
 
