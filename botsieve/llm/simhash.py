@@ -54,13 +54,14 @@ def fingerprint(data: bytes, shingle: int = SHINGLE) -> int:
     words = data.lower().split()   # bytes: A-Z only; \x20 and \x09-\x0D separate
     if not words:
         return 0
-    grams = zip(*(words[i:] for i in range(shingle))) if len(words) >= shingle else [words]
-    total = max(1, len(words) - shingle + 1)
-    hashes = b"".join(map(xxhash.xxh64_digest, map(b" ".join, grams), repeat(SEED)))
+    size = min(shingle, len(words))
+    total = len(words) - size + 1
     counts = np.zeros(BITS, np.int64)
     for at in range(0, total, BLOCK):
-        part = np.frombuffer(hashes, np.uint8, 8 * min(BLOCK, total - at), 8 * at).reshape(-1, 8)
-        counts += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
+        stop = min(at + BLOCK, total)
+        grams = map(b" ".join, zip(*(words[at + i:stop + i] for i in range(size))))
+        hashes = np.frombuffer(b"".join(map(xxhash.xxh64_digest, grams, repeat(SEED))), np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(hashes, axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * counts > total).tobytes(), "big", signed=True)
 
 
