@@ -44,25 +44,40 @@ END, GAP = 0x0A, 0x20
 FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else
              END if b in b".!?\n" else GAP for b in range(256))
 FOLD_ARRAY = np.frombuffer(FOLD, np.uint8)
+BLOCK = 1 << 20     # bytes that are looked at at once
 POWERS = np.cumprod(np.full(64, 0x100000001B3, np.uint64), dtype=np.uint64)
 
 
 def word_places(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All words of a batch: hashed places (one row for the words, one for each
     stem), sentence number, and byte bounds in the texts joined by single line
-    breaks. Sentences are numbered through."""
+    breaks. Sentences are numbered through. Bytes are looked at in blocks that
+    end between words, so what a long text needs grows with its words only."""
     joined = b"\n".join(texts) + b"\n"
-    data = FOLD_ARRAY[np.frombuffer(joined, np.uint8)]
-    inside = data > GAP
-    change = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-    if len(inside) and inside[0]:
-        change = np.concatenate(([0], change))
-    starts, stops = change[::2], change[1::2]       # the last byte is a line break
+    at, sentence, found = 0, 0, []
+    while at < len(joined):
+        end = min(at + BLOCK, len(joined))
+        while FOLD[joined[end - 1]] > GAP:     # the last byte is a line break
+            end += 1
+        place, number, starts, stops, ends = block_places(np.frombuffer(joined, np.uint8, end - at, at))
+        found.append((place, number + sentence, starts + at, stops + at))
+        at, sentence = end, sentence + ends
+    place, *rest = zip(*found)
+    return np.concatenate(place, axis=1), *map(np.concatenate, rest)
+
+
+def block_places(block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """``word_places`` of one block, and the ends of sentences in it."""
+    data = FOLD_ARRAY[block]
+    inside = np.concatenate(([False], data > GAP))
+    change = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, stops = change[::2], change[1::2]
+    ends = np.cumsum(data == END, dtype=np.int32)
     if not len(starts):
-        return (np.zeros((1 + len(STEMS), 0), np.int64), *(np.zeros(0, np.int64),) * 3)
+        return np.zeros((1 + len(STEMS), 0), np.int32), np.zeros(0, np.int32), starts, stops, int(ends[-1])
     # Hash of a word: its bytes times powers of a prime by their place in the
     # word (repeated every 64 bytes), summed.
-    at = np.flatnonzero(inside)
+    at = np.flatnonzero(data > GAP)
     word = np.repeat(np.arange(len(starts)), stops - starts)
     parts = (data[at].astype(np.uint64) + np.uint64(1)) * POWERS[(at - starts[word]) & 63]
     first = np.concatenate(([0], np.cumsum(stops - starts)[:-1]))
@@ -73,13 +88,12 @@ def word_places(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
         place = hashed(sums[first + stem - 1] - before, stem)
         place[stops - starts <= stem] = NOTHING
         places.append(place)
-    ends = np.cumsum(data == END)
-    return np.stack(places), ends[starts], starts, stops
+    return np.stack(places), ends[starts], starts, stops, int(ends[-1])
 
 
 def hashed(code: np.ndarray, kind: int) -> np.ndarray:
     code = (code + np.uint64(kind)) * np.uint64(0x9E3779B97F4A7C15)
-    return ((code ^ code >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - BITS)).astype(np.int64)
+    return ((code ^ code >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - BITS)).astype(np.int32)
 
 
 def softplus(z: np.ndarray) -> np.ndarray:
@@ -98,7 +112,7 @@ def sentences_of(texts: list[bytes], weights: np.ndarray, bias: float):
     first = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))
     # Once per sentence: only the few features with a weight are sorted.
     inside = np.cumsum(np.concatenate(([False], number[1:] != number[:-1])))
-    stem, word = np.nonzero(weights[place])
+    stem, word = np.nonzero((weights != 0)[place])
     pairs = np.unique(inside[word] << (BITS + 1) | place[stem, word])
     logit = np.bincount(pairs >> (BITS + 1), weights[pairs & ((2 << BITS) - 1)], len(first)) + bias
     logit[np.bincount(pairs >> (BITS + 1), minlength=len(first)) == 0] = -np.inf

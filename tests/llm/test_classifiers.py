@@ -113,6 +113,14 @@ def test_presence_in_pieces(monkeypatch):
     assert len(Presence((1, 2), 15).ids(b"")) == 0 and len(Presence((1, 2, 3, 4), 15).ids(b"a")) == 1
 
 
+def test_words_in_blocks(monkeypatch):
+    rnd = random.Random(2)
+    texts = [bytes(rnd.choice(b"abAB .!?\n-\xc3\xa9") for _ in range(rnd.randrange(300))) for _ in range(100)] + [b"", b"a" * 500]
+    whole = toxicity.word_places(texts)
+    monkeypatch.setattr(toxicity, "BLOCK", 7)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, toxicity.word_places(texts)))
+
+
 def test_noisy_or_by_hand():
     """Document score from sentence scores; hashing is that of single words."""
     weights = np.zeros(toxicity.NOTHING + 1)
