@@ -34,6 +34,7 @@ from .common import batch_udf, struct_array, table, utf8
 
 VOCAB = "word_bpe_49k.json"
 LONG_WORD = 64          # parts; longer words are merged with a heap
+RUN = 1 << 18           # characters that are split into words at once
 CACHED_WORDS = 400_000  # per task (about 80 MB); the cache is emptied when full
 NONE = 1 << 60          # in place of a rank, for a pair that does not merge
 ID_BITS = 20            # a merge is held as one number: rank, then the new id
@@ -161,9 +162,14 @@ class Encoder(dict):
                 piece = unicodedata.normalize("NFC", piece)
             # Letter by letter: no final form of sigma.
             piece = piece.replace("Σ", "σ").lower()
-            # Python's own split also cuts at four control characters.
-            odd = any(c in piece for c in "\x1c\x1d\x1e\x1f")
-            out += map(self.__getitem__, [c for c in self.gaps.split(piece) if c] if odd else piece.split())
+            at = 0
+            while at < len(piece):     # in runs that end at white space
+                gap = self.gaps.search(piece, at + RUN) if at + RUN < len(piece) else None
+                run = piece[at:gap.start() if gap else len(piece)]
+                at += max(len(run), 1)
+                # Python's own split also cuts at four control characters.
+                odd = any(c in run for c in "\x1c\x1d\x1e\x1f")
+                out.append(b"".join(map(self.__getitem__, [c for c in self.gaps.split(run) if c] if odd else run.split())))
         return b"".join(out)
 
     def decode(self, ids) -> str:

@@ -52,6 +52,14 @@ def test_long_words_merge_alike():
         assert enc.merge_long(parts) == enc.merge(word)
 
 
+def test_long_texts_in_runs(monkeypatch):
+    enc = bpe.Encoder(open(PATH, encoding="utf-8").read())
+    text = "".join(random.Random(3).choice(["ab", " ", "\n ", "c-d", "\x1c", "é"]) for _ in range(3000))
+    whole = enc.encode(text)
+    monkeypatch.setattr(bpe, "RUN", 7)
+    assert enc.encode(text) == whole and enc.encode(text + "  ") == whole and enc.encode(" ") == b""
+
+
 def test_cache_is_bounded(monkeypatch):
     monkeypatch.setattr(bpe, "CACHED_WORDS", 10)
     enc = bpe.Encoder(open(PATH, encoding="utf-8").read())
