@@ -26,6 +26,8 @@ positive values. Defined results: null texts and texts without a letter are
 rows everything is ``und``. A prediction depends on the text alone.
 """
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,14 +48,16 @@ FOLDS, HELD, NONE = 4, 2, "und"
 FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
 
+GAPS, ASCII_LETTER = re.compile(b"  +"), re.compile(b"[a-z]")
+
+
 def letters(data: bytes) -> bytes:
-    return b" " + b" ".join(data.translate(FOLD).split()) + b" "
+    return b" " + GAPS.sub(b" ", data.translate(FOLD)).strip(b" ") + b" "
 
 
 def has_letter(data: bytes) -> bool:
-    return data.translate(FOLD).strip() != b"" and (
-        any(c < 0x80 and c != 0x20 for c in data.translate(FOLD)[:256])
-        or any(map(str.isalpha, data.decode("utf-8", "replace"))))
+    folded = data.translate(FOLD)
+    return ASCII_LETTER.search(folded) is not None or any(map(str.isalpha, folded.decode("utf-8", "replace")))
 
 
 def presence(texts: list[bytes], grams: Presence) -> np.ndarray:
