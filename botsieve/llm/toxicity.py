@@ -210,14 +210,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
 
 KINDS = [("score", pa.float64()), ("n_offending", pa.int64()), ("spans", pa.list_(pa.struct(
     [("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])))]
-RESULT = "score double, n_offending bigint, spans array<struct<start:bigint,end:bigint,score:double>>"
+RESULT = "struct<score:double,n_offending:bigint,spans:array<struct<start:bigint,end:bigint,score:double>>>"
 
 
 def toxicity_column(spark: SparkSession, model, text: str | Column) -> Column:
     """struct(score, n_offending, spans): spans are the offending sentences in
     code points, end exclusive, from their first word to their last."""
     if model is None:
-        return F.lit(None).cast(f"struct<{RESULT.replace(' double', ':double').replace(' bigint', ':bigint').replace(' array', ':array')}>")
+        return F.lit(None).cast(RESULT)
     shared = spark.sparkContext.broadcast(model)
 
     def make():
