@@ -26,18 +26,23 @@ def star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.filter(F.col("a") != F.col("b")).distinct()
 
 
+def are_stars(edges: DataFrame) -> bool:
+    """Whether no node has two centres, or is a centre and a leaf at once."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("centre"), F.lit(0).alias("leaf")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("centre"), F.lit(1).alias("leaf")))
+    ends = ends.groupBy("node").agg(F.max("centre").alias("centre"), F.sum("leaf").alias("leaves"))
+    return ends.filter(F.col("centre") + F.col("leaves") > 1).isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (columns a, b, of one integer
     type): root is the smallest node reachable. Roots are listed too. Each
     round is written to the shared folder; rounds grow with the logarithm of
-    the longest chain. Self-loops and repeated edges do no harm."""
-    both = edges.select("a", "b").filter(F.col("a") != F.col("b"))
-    state, mark = written(both.distinct(), "edges"), None
-    while True:
+    the longest chain and end when every component is a star around its
+    smallest node. Self-loops and repeated edges do no harm."""
+    pairs = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b")
+    state = written(pairs.distinct(), "edges")
+    while not are_stars(state):
         state = written(star(star(state, True), False), "edges")
-        now = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if tuple(now) == mark:
-            break
-        mark = tuple(now)
     return state.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(
         state.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
