@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, langid, pii, quality, quality_rules, sharding, simhash, toxicity, url_rules
+from . import bpe, decontaminate, langid, pii, quality, quality_rules, sharding, simhash, simhash_sql, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_simhash": simhash_sql.OP1_SQL,
         "op3_sharding": sharding.OP3_SQL,
         "op4_pii": pii.OP4_SQL,
         "op5_quality_rules": quality_rules.OP5_SQL,
