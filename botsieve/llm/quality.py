@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh64_digest
 
 from .common import batch_udf, fold, slices, table, utf8
 from .grams import Presence
@@ -199,13 +200,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
             done = 0
             for run in slices(texts):
                 for data, flags, y in zip(run, features.matrix(run), ys[done:done + len(run)]):
-                    found.append((data[:64], len(data), 2 * y - 1, scaled(flags, ratios)))
+                    found.append((xxh64_digest(data), 2 * y - 1, scaled(flags, ratios)))
                 done += len(run)
-        found.sort(key=lambda f: (f[1], f[0], f[2]))   # the same order at each run
-        y = np.array([f[2] for f in found], float)
+        found.sort(key=lambda f: f[:2])   # the same order at each run
+        y = np.array([f[1] for f in found], float)
         if len(np.unique(y)) < 2:
             return
-        w, slope, offset = fit([f[3] for f in found], y, 2 << BITS)
+        w, slope, offset = fit([f[2] for f in found], y, 2 << BITS)
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()]), pa.array([slope]), pa.array([offset])],
                                          names=["w", "slope", "offset"])
 
