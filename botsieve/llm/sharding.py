@@ -67,7 +67,6 @@ def interleave(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, id_col:
                                F.crc32(data).alias("text_crc32"), shuffle_hash("__id", "__text", seed).alias("__hash")), "slim")
     total = slim.count()
     bits = max(0, (max(total, 1) // ROWS).bit_length())
-    tie = ["__hash", "__id", "text_crc32", "size"]
     rows = slim.withColumn("__bucket", F.shiftright("__hash", HASH_BITS - bits))
     ranked = bucketed_rank(rows, ["__stratum"], "__bucket", ["__hash", "__id", "text_crc32", "size"])
     fraction = (2 * F.col("__rank") - 1).cast("double") / (2 * F.col("__n")).cast("double")

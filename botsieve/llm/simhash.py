@@ -124,7 +124,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS,
     fetched = entries.join(large, ["part", "key"], "left_anti").withColumnRenamed("fp", "other").unionByName(
         large.withColumn("other", F.lit(None).cast("bigint")).withColumn("large", F.lit(True)), allowMissingColumns=True)
     # One join: single entries come back as candidates, marked buckets as marks.
-    # The own entry never comes back; of an equal key, the smaller one asks.
+    # Complete distances are verified here, before anything is written.
     near = F.col("large") | (distance("fp", "other") <= max_bits) & (F.col("fp") != F.col("other"))
     found = written(probes.join(fetched, ["part", "key"]).filter(near).select("fp", "other"), "candidates")
     pairs = found.filter("other IS NOT NULL").select(F.col("fp").alias("a"), F.col("other").alias("b"))
