@@ -32,6 +32,7 @@ from .common import batch_udf, struct_array, table, utf8, written
 
 WINDOW = 13
 MAX_SHARE = 20             # contaminated: n_hit * MAX_SHARE >= n_words
+MAX_SPAN = WINDOW          # the pipeline cuts hit spans of so many words out of what stays
 BLOCK_BYTES = 4 << 20      # item text per automaton
 
 # Bytes of words stay (A-Z in lower case), all others become spaces.
@@ -244,51 +245,74 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, text:
     return docs.withColumn(out, F.col(out).withField("contaminated", (F.col(f"{out}.n_hit") > 0) & share))
 
 
-def cut_spans(text: str | Column, spans: Column) -> Column:
-    """``text`` without the words of ``spans`` and what lies between them."""
+def cut_spans(text: str | Column, spans: Column, least: Column) -> Column:
+    """``text`` without the words of ``spans`` and what lies between them, once
+    overlapping and touching spans are one; only spans of at least ``least``
+    words count (null: none do). Null if nothing is cut."""
     def make():
-        def run(texts, lists):
+        def run(texts, lists, leasts):
             out = []
-            for t, s in zip(texts, lists):
-                data, places = t.as_py() or b"", s.as_py() or []
-                if places:
-                    folded = data.translate(FOLD)
-                    bounds, at = [], 0
-                    for w in folded.split():
-                        at = folded.index(w, at)
-                        bounds.append((at, at + len(w)))
-                        at += len(w)
-                    kept, at = [], 0
-                    for a, b in merged([(p["a"], p["b"]) for p in places]):
-                        kept.append(data[at:bounds[a][0]])
-                        at = bounds[b - 1][1]
-                    data = b"".join([*kept, data[at:]])
-                out.append(data.decode("utf-8", "replace"))
-            return pa.array(out, pa.string())
+            for t, s, n in zip(texts, lists, leasts):
+                places = [(p["a"], p["b"]) for p in s.as_py() or []] if n.is_valid else []
+                places = [(a, b) for a, b in merged(places) if b - a >= n.as_py()]
+                if not places:
+                    out.append(None)
+                    continue
+                data = t.as_py() or b""
+                folded = data.translate(FOLD)
+                bounds, at = [], 0
+                for w in folded.split():
+                    at = folded.index(w, at)
+                    bounds.append((at, at + len(w)))
+                    at += len(w)
+                kept, at = [], 0
+                for a, b in places:
+                    kept.append(data[at:bounds[a][0]])
+                    at = bounds[b - 1][1]
+                out.append(b"".join([*kept, data[at:]]))
+            return pa.array(out, pa.binary())
         return run
-    return batch_udf(make, "string", 2)(utf8(text), spans)
+    some = F.when(F.size(spans) > 0, F.col(text) if isinstance(text, str) else text)   # other texts need not go to Python
+    return batch_udf(make, "binary", 3)(utf8(some), spans, least.cast("bigint")).cast("string")
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, window: int = WINDOW, text: str = "text",
-                  on_coverage: str = "drop", max_span: int | None = None, **columns) -> DataFrame:
+                  on_coverage: str = "drop", max_span: int | None = None, chars: str | None = None, **columns) -> DataFrame:
     """Documents under the limits. A document whose hit words reach the
     coverage limit is dropped (``on_coverage="drop"``) or loses its spans
     (``"cut"``). With ``max_span``, spans of at least that many words are cut
-    out of the other documents as well. All else stays as it is."""
+    out of the other documents as well; what a cut brings together is looked at
+    again, until no such span is left. ``chars`` names a column of the text's
+    length, which follows a cut. All else stays as it is."""
     if on_coverage not in ("drop", "cut"):
         raise ValueError(f"on_coverage must be drop or cut, not {on_coverage!r}")
-    hits, columns_kept = "__hits", [F.col(f"`{c}`") for c in docs.columns]
-    found = contamination(docs, bench, window, text, out=hits, **columns)
-    if on_coverage == "drop":
-        found = found.filter(~F.col(f"{hits}.contaminated"))
-    if on_coverage == "drop" and max_span is None:
-        return found.select(*columns_kept)
-    spans = F.col(f"{hits}.spans")
-    long = F.filter(spans, lambda s: s["b"] - s["a"] >= F.lit(max_span)) if max_span else F.slice(spans, 1, 0)
-    if on_coverage == "cut":
-        long = F.when(F.col(f"{hits}.contaminated"), spans).otherwise(long)
-    cut = F.when(F.size(long) > 0, cut_spans(text, long)).otherwise(F.col(text))
-    return found.withColumn(text, cut).select(*columns_kept)
+    hits, after, gone, columns_kept = "__hits", "__after", "__gone", [F.col(f"`{c}`") for c in docs.columns]
+    kind = dict(docs.dtypes).get(chars)
+    done = None
+    while True:
+        found = contamination(docs, bench, window, text, out=hits, **columns)
+        over, least = F.col(f"{hits}.contaminated"), F.lit(max_span).cast("bigint")
+        if on_coverage == "drop" and max_span is None:
+            return found.filter(~over).select(*columns_kept)
+        if done is not None:
+            over = F.lit(False)   # the coverage limit is for the text as it came
+        elif on_coverage == "drop":
+            least = F.when(~over, least)
+        else:
+            over, least = F.lit(False), F.when(over, 1).otherwise(least)
+        # Dropped after the write: a filter here would match every text twice.
+        cut = found.withColumn(gone, over).withColumn(after, cut_spans(text, F.col(f"{hits}.spans"), least))
+        if kind:
+            cut = cut.withColumn(chars, F.when(F.col(after).isNotNull(), F.length(after).cast(kind)).otherwise(F.col(f"`{chars}`")))
+        cut = cut.withColumn(text, F.coalesce(after, F.col(f"`{text}`"))).withColumn(after, F.col(after).isNotNull())
+        if max_span is None:
+            return cut.select(*columns_kept)
+        cut = written(cut.select(*columns_kept, after, gone), "decontaminated")
+        rest = cut.filter(~F.col(after) & ~F.col(gone)).select(*columns_kept)
+        done = rest if done is None else done.unionAll(rest)
+        docs = cut.filter(after).select(*columns_kept)
+        if docs.isEmpty():
+            return done
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

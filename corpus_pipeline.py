@@ -24,8 +24,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose share of benchmark passages stays below the limit."""
-    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    """Documents whose share of benchmark passages stays below the limit, and
+    without the passages of at least ``MAX_SPAN`` words (n_chars follows)."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), max_span=decontaminate.MAX_SPAN, chars="n_chars")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

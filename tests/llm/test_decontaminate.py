@@ -100,3 +100,26 @@ def test_clashing_column_is_replaced(spark):
     assert sorted(found.columns) == sorted(docs.columns) and found.schema["hits"].dataType.typeName() == "struct"
     kept = d.decontaminate(docs, spark.createDataFrame([(1, ITEM)], BENCH))
     assert kept.columns == docs.columns and kept.count() == docs.count()
+
+
+def test_long_spans_leave_documents_that_stay(spark):
+    """Everything but the spans stays as it is; a text that a cut brings
+    together is looked at again; a span made by two blocks is one span."""
+    nested = " ".join(ITEM.split()[:8]) + " " + " ".join(f"v{i}" for i in range(15)) + " " + " ".join(ITEM.split()[8:])
+    items = [(1, ITEM), (2, " ".join(f"v{i}" for i in range(15))), (3, "p q r s t u v"), (4, "u v w x y z a b")]
+    rest = " x" * 2000
+    docs = [(1, "Keep: " + ITEM.upper() + rest + "\n", 5), (2, nested + rest, 5), (3, " ".join(ITEM.split()[:12]) + rest, 5),
+            (4, "so p q r s t u v w x y z a b" + rest, 5), (5, "so p q r s t u v" + rest, 5), (6, None, None), (7, ITEM, 5)]
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string, n_chars int")
+    bench = spark.createDataFrame(items, BENCH)
+    got = rows_of(d.decontaminate(docs, bench, max_span=13, chars="n_chars"))
+    same = {r.doc_id: r for r in docs.collect() if r.doc_id in (3, 5, 6)}
+    assert {i: got[i] for i in same} == same
+    want = {1: "Keep: " + rest + "\n", 2: rest, 4: "so " + rest}
+    assert {i: (got[i].text, got[i].n_chars) for i in want} == {i: (t, len(t)) for i, t in want.items()}
+    assert set(got) == {*same, *want}
+
+
+def test_long_spans_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(d, "BLOCK_BYTES", 60)
+    test_long_spans_leave_documents_that_stay(spark)

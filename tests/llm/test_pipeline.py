@@ -74,3 +74,17 @@ def test_stages_bear_edge_cases(spark):
             assert out.count() <= some.count()
             if name != "bpe_encoding":
                 assert out.columns == some.columns
+
+
+def test_no_benchmark_window_passes_the_pipeline_stage(spark):
+    """Documents that stay lose their passages of a window and more, and only those."""
+    docs = table(spark, SF001, "documents")
+    hits = {r.doc_id: r for r in decontaminate.contamination(docs, table(spark, SF001, "benchmark")).collect()}
+    plain = dict(corpus_pipeline.STAGES)["decontamination"](spark, docs, SF001)
+    assert plain.columns == docs.columns and plain.filter(F.length("text") != F.col("n_chars")).count() == 0
+    kept = {r.doc_id: r.text for r in plain.collect()}
+    long = {i for i, r in hits.items() if any(b - a >= decontaminate.WINDOW for a, b in r.hits.spans)}
+    assert set(kept) == {i for i, r in hits.items() if not r.hits.contaminated} and long & set(kept)
+    assert all(kept[i] == r.text for i, r in hits.items() if i in kept and i not in long)
+    left = decontaminate.contamination(plain, table(spark, SF001, "benchmark")).collect()
+    assert not any(b - a >= decontaminate.WINDOW for r in left for a, b in r.hits.spans)
