@@ -159,13 +159,20 @@ class Automaton:
             return len(words), [], [], 0
         codes = np.fromiter(map(self.ids.get, words, repeat(-1)), np.int64, len(words))
         # Runs of words that items have; only those at least as long as the
-        # shortest window can hold one.
+        # shortest window can hold one. A shorter run is streamed only if it
+        # can hold a longer match than those before, longest runs first.
         known = np.concatenate(([False], codes >= 0, [False]))
         edges = np.flatnonzero(known[1:] != known[:-1])
-        starts, stops = edges[::2], edges[1::2]
+        starts, sizes = edges[::2], edges[1::2] - edges[::2]
         spans, found, longest = [], set(), 0
-        for i in np.flatnonzero(stops - starts >= self.least):
-            a, b = int(starts[i]), int(stops[i])
+        for i in np.flatnonzero(sizes >= self.least):
+            a, b = int(starts[i]), int(starts[i] + sizes[i])
+            longest = max(longest, self.stream(codes[a:b].tolist(), a, spans, found))
+        short = np.flatnonzero((sizes < self.least) & (sizes > longest))
+        for i in short[np.argsort(-sizes[short], kind="stable")]:
+            if sizes[i] <= longest:
+                break
+            a, b = int(starts[i]), int(starts[i] + sizes[i])
             longest = max(longest, self.stream(codes[a:b].tolist(), a, spans, found))
         return len(words), merged(spans), sorted(n for n in found if n is not None), longest
 

@@ -123,3 +123,15 @@ def test_long_spans_leave_documents_that_stay(spark):
 def test_long_spans_over_blocks(spark, monkeypatch):
     monkeypatch.setattr(d, "BLOCK_BYTES", 60)
     test_long_spans_leave_documents_that_stay(spark)
+
+
+def test_longest_match_against_brute_force():
+    """The longest run of words that a text shares with one item, also below a window."""
+    rnd = random.Random(8)
+    for _ in range(500):
+        make = lambda n: [f"w{rnd.randrange(8)}" for _ in range(n)]
+        items, text = [make(rnd.randrange(30)) for _ in range(rnd.randrange(5))], make(rnd.randrange(60))
+        parts = {tuple(w[i:j]) for w in items for i in range(len(w)) for j in range(i + 1, len(w) + 1)}
+        want = max((j - i for i in range(len(text)) for j in range(i + 1, len(text) + 1) if tuple(text[i:j]) in parts), default=0)
+        automaton = d.Automaton([(str(i), " ".join(w).encode()) for i, w in enumerate(items)])
+        assert automaton.match(" ".join(text).encode())[3] == want
