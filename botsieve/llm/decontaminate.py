@@ -25,7 +25,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import batch_udf, struct_array, table, utf8, written
@@ -188,14 +188,35 @@ def merged(spans: list) -> list[tuple[int, int]]:
 
 
 def blocks(bench: DataFrame, id_col: str, text_col: str):
-    """The benchmark's rows in blocks of bounded size, one at a time."""
+    """The benchmark's distinct rows in blocks of at most ``BLOCK_BYTES`` of
+    text (or one longer item), one at a time. Items are put in an order and cut
+    into parts by running totals: an item above a sixteenth of a block is a part
+    of its own, and the others make parts of less than an eighth. Only the
+    parts' sizes come to the driver, which joins neighbours to blocks."""
     items = written(bench.select(F.col(id_col).cast("string").alias("id"), utf8(text_col).alias("text"))
-                    .filter(F.length("text") > 0), "bench-items")
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    count = -(-size * 5 // (4 * BLOCK_BYTES)) or 1   # a fifth more, for uneven hashes
-    items = items.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(count)))
-    for b in range(count):
-        yield [(r["id"], bytes(r["text"])) for r in items.filter(F.col("block") == b).collect()]
+                    .filter(F.length("text") > 0).distinct(), "bench-items")
+    items = items.withColumn("size", F.length("text").cast("bigint"))
+    total, most = items.agg(F.sum("size")).first()[0] or 0, max(1, BLOCK_BYTES // 16)
+    hashed = F.xxhash64("id", "text")
+    items = items.withColumn("hash", hashed).withColumn("lane", F.pmod("hash", F.lit(total // (16 * BLOCK_BYTES) + 1)))
+    order = Window.partitionBy("lane").orderBy("hash", "id", "text").rowsBetween(Window.unboundedPreceding, 0)
+    small = F.col("size") <= most
+    before = F.sum(F.when(small, F.col("size")).otherwise(0)).over(order) - F.col("size")
+    part = F.when(small, F.floor(before / most)).otherwise(-F.count_if(~small).over(order))
+    items = written(items.select("id", "text", "size", "lane", part.cast("bigint").alias("part")), "bench-parts")
+    bounds, size = [], 0
+    for r in items.groupBy("lane", "part").agg(F.sum("size").alias("size")).orderBy("lane", "part").toLocalIterator():
+        if not bounds or size + r["size"] > BLOCK_BYTES:
+            bounds.append([(r["lane"], r["part"])] * 2)
+            size = 0
+        bounds[-1][1] = (r["lane"], r["part"])
+        size += r["size"]
+    if not bounds:
+        yield []
+    for first, last in bounds:
+        low, high = (F.struct(F.lit(x).cast("bigint"), F.lit(y).cast("bigint")) for x, y in (first, last))
+        inside = F.struct("lane", "part").between(low, high)
+        yield [(r["id"], bytes(r["text"])) for r in items.filter(inside).select("id", "text").collect()]
 
 
 HITS = "n_words bigint, spans array<struct<a:bigint,b:bigint>>, items array<string>, longest bigint"

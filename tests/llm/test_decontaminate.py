@@ -135,3 +135,17 @@ def test_longest_match_against_brute_force():
         want = max((j - i for i in range(len(text)) for j in range(i + 1, len(text) + 1) if tuple(text[i:j]) in parts), default=0)
         automaton = d.Automaton([(str(i), " ".join(w).encode()) for i, w in enumerate(items)])
         assert automaton.match(" ".join(text).encode())[3] == want
+
+
+def test_blocks_keep_their_bound(spark, monkeypatch):
+    """Copies of an item count once, and no block is above the bound."""
+    rnd = random.Random(6)
+    items = [(i, "x" * rnd.choice([3, 10, 40, 90, 700, 1500])) for i in range(300)] + [(7, "copy " * 40)] * 150 + [(None, "none")] * 2
+    bench = spark.createDataFrame([*items, (1, None), (2, "")], BENCH)
+    monkeypatch.setattr(d, "BLOCK_BYTES", 1000)
+    got = list(d.blocks(bench, "item_id", "text"))
+    assert sorted(map(str, (x for b in got for x in b))) == sorted(str((None if i is None else str(i), t.encode())) for i, t in set(items))
+    sizes = [sum(len(t) for _, t in b) for b in got]
+    assert all(n <= 1000 or len(b) == 1 for n, b in zip(sizes, got))
+    assert len(got) < 3 * sum(sizes) / 1000
+    assert list(d.blocks(bench.limit(0), "item_id", "text")) == [[]]
