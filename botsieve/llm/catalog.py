@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, langid, merkle, pii, quality, quality_rules, sharding, simhash, simhash_sql, toxicity, url_rules
+from . import bpe, chat, decontaminate, langid, merkle, pii, quality, quality_rules, sharding, simhash, simhash_sql, spelling, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,7 +21,9 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": toxicity.op8,
         "op9_bpe": bpe.op9,
         "op10_language": langid.op10,
+        "op11_spelling": spelling.op11,
         "op12_merkle": merkle.op12,
+        "op13_chat": chat.op13,
     }
 
 
@@ -33,5 +35,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_quality_rules": quality_rules.OP5_SQL,
         "op6_url_rules": url_rules.OP6_SQL,
         "op7_decontaminate": decontaminate.OP7_SQL,
+        "op11_spelling": spelling.OP11_SQL,
         "op12_merkle": merkle.OP12_SQL,
+        "op13_chat": chat.OP13_SQL,
     }
