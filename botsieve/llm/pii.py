@@ -14,8 +14,9 @@ account numbers, IBANs). An added span that overlaps a base span is left out.
 
 Spans count code points, end exclusive. Defined results: null and empty texts
 have no spans; equal texts get equal spans; invalid UTF-8 counts as
-replacement characters; other columns play no part. Every parser walks a
-character at most a fixed number of times, so long texts take linear time.
+replacement characters; other columns play no part. Long texts take linear
+time: a run that many cues share is walked once (``Values``), and every other
+parser stops at the next anchor of its kind or after a fixed number of letters.
 """
 
 import hashlib
@@ -123,7 +124,29 @@ def login_at(text: str, at: int) -> tuple[int, int] | None:
     return (at, end) if end > user + 1 and end < len(text) and text[end] == "@" else None
 
 
-def value_after(text: str, at: int) -> tuple[int, int] | None:
+class Values:
+    """Runs of secret characters of one text, each walked once: cues may lie
+    inside a run by the thousand, and all of them share its end and digits."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.start = self.stop = self.end = self.digit = 0   # run, its end without dots, its last digit
+
+    def find(self, at: int) -> tuple[int, bool]:
+        """Where the value from ``at`` ends, and whether it has a digit."""
+        if not self.start <= at < self.stop:
+            text = self.text
+            self.start, self.stop = at, run_end(text, at, SECRET)
+            self.end = self.stop
+            while self.end > at and text[self.end - 1] == ".":
+                self.end -= 1
+            self.digit = self.end - 1
+            while self.digit >= at and text[self.digit] not in DIGITS:
+                self.digit -= 1
+        return max(at, self.end), self.digit >= at
+
+
+def value_after(text: str, at: int, values: Values) -> tuple[int, int] | None:
     """A quoted or bare value after ``=`` or ``:``."""
     at = run_end(text, at, frozenset(" "))
     if at >= len(text) or text[at] not in "=:":
@@ -131,9 +154,8 @@ def value_after(text: str, at: int) -> tuple[int, int] | None:
     at = run_end(text, at + 1, frozenset(" "))
     if at < len(text) and text[at] in "\"'":
         at += 1
-    end = run_end(text, at, SECRET)
-    value = text[at:end].rstrip(".")
-    return (at, at + len(value)) if len(value) >= LEAST_VALUE and any(c in DIGITS for c in value) else None
+    end, has_digit = values.find(at)
+    return (at, end) if end - at >= LEAST_VALUE and has_digit else None
 
 
 def number_after(text: str, at: int) -> tuple[int, int] | None:
@@ -148,21 +170,31 @@ def number_after(text: str, at: int) -> tuple[int, int] | None:
 def iban_after(text: str, at: int) -> tuple[int, int] | None:
     """An IBAN with valid check digits, in groups or not, after the cue."""
     at = run_end(text, at, frozenset(" :"))
-    end, body = at, ""
+    end, body, head, rest = at, "", 0, 0
     while end < len(text) and len(body) < 34 and (text[end] in ALNUM or text[end] == " "):
-        body += text[end].strip()
+        c = text[end]
         end += 1
-        if len(body) >= 15 and body[:2].isalpha() and body[2:4].isdigit():
-            moved = body[4:] + body[:4]
-            if int("".join(str(int(c, 36)) for c in moved)) % 97 == 1 and not (end < len(text) and text[end] in ALNUM):
-                return at, end
+        if c == " ":
+            continue
+        body += c
+        value = int(c, 36)
+        if len(body) <= 4:      # country and check digits go to the end of the number
+            if (value < 10) == (len(body) <= 2):
+                return None
+            head = head * (100 if value > 9 else 10) + value
+            continue
+        rest = (rest * (100 if value > 9 else 10) + value) % 97
+        if len(body) >= 15 and (rest * 1_000_000 + head) % 97 == 1 and not (end < len(text) and text[end] in ALNUM):
+            return at, end
     return None
 
 
 def key_at(text: str, at: int) -> tuple[int, int] | None:
     """An access key id: its four-letter prefix ends before ``at``."""
-    end = run_end(text, at, ALNUM)
-    return (at - 4, end) if end - at == 16 and text[at:end].upper() == text[at:end] else None
+    end = at + 16
+    if len(text) < end or run_end(text[at:end + 1], 0, ALNUM) != 16:   # one more would be another key
+        return None
+    return (at - 4, end) if text[at:end].upper() == text[at:end] else None
 
 
 def anchors():
@@ -179,13 +211,13 @@ def anchors():
     return found
 
 
-ADDED = {"login": ("login", login_at), "key": ("account", key_at), "value": ("account", value_after),
-         "number": ("account", number_after), "iban": ("account", iban_after)}
+ADDED = {"login": ("login", login_at), "key": ("account", key_at), "number": ("account", number_after),
+         "iban": ("account", iban_after)}
 
 
 def spans_of(text: str, automaton) -> list[tuple[int, int, int]]:
     """(start, place of the kind in ``KINDS``, end) of every span, sorted."""
-    base, added = [], []
+    base, added, values = [], [], Values(text)
     done = {"email": 0, "ip": 0, "card": 0, "phone": 0}   # where each kind's next match may begin
     for last, kind in automaton.iter(text):
         if kind == "digit":
@@ -208,6 +240,9 @@ def spans_of(text: str, automaton) -> list[tuple[int, int, int]]:
                 done["phone"] = found[1]
                 if found[2]:
                     base.append((found[0], 3, found[1]))
+        elif kind == "value":
+            if found := value_after(text, last + 1, values):
+                added.append((found[0], KINDS.index("account"), found[1]))
         else:
             name, parse = ADDED[kind]
             if found := parse(text, last + 1):

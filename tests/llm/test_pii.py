@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pyarrow.parquet as pq
 from conftest import SF0001
@@ -58,6 +59,46 @@ def test_added_spans():
     assert found("token = someone.1@mail.example.com") == [("email", "someone.1@mail.example.com")]
 
 
+def walked_anew(text, cues):
+    """Values and keys, each run walked from each cue."""
+    out = []
+    for at in sorted({m.end() for c in cues for m in re.finditer(f"(?={re.escape(c)})", text) for m in [re.compile(re.escape(c)).match(text, m.start())]}):
+        if m := re.compile(r" *[=:] *[\"']?([A-Za-z0-9_\-./+=]*)").match(text, at):
+            value = m[1].rstrip(".")
+            if len(value) >= 8 and re.search("[0-9]", value):
+                out.append((m.start(1), 5, m.start(1) + len(value)))
+    for m in re.finditer("(?=AKIA)", text):
+        run = re.compile("[A-Za-z0-9]*").match(text, m.start() + 4)[0]
+        if len(run) == 16 and run.upper() == run:
+            out.append((m.start(), 5, m.start() + 20))
+    return sorted(set(out))
+
+
+def test_added_spans_against_plain_walks():
+    """Texts made of cues: the spans are those of walking each run from each cue."""
+    automaton, rnd = pii.anchors(), random.Random(6)
+    cues = [f for c in pii.VALUE_CUES for f in (c, c.title(), c.upper())]
+    parts = ["token", "=", "secret", "api-key", "AKIA", ":", " ", '"', "a1", "B2C3", "ABCDEFGHJKLM2345", ".", "..", "/x_", "é", "PASSWORD", "9+-"]
+    for _ in range(30_000):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randrange(14)))
+        reach, want = 0, []
+        for a, k, b in walked_anew(text, cues):
+            if a >= reach and not any(x < b and a < y for x, _, y in slow(text)):
+                want.append((a, k, b))
+                reach = b
+        assert [s for s in pii.spans_of(text, automaton) if s[1] >= 4] == want, text
+
+
+def test_hostile_texts_take_linear_time():
+    """A megabyte of cues, and of every mix of two: seconds, for spans and masking alike."""
+    automaton = pii.anchors()
+    cues = ["token=", "AKIA", "iban", "account", "://a:", "token=1", "a@", "+1 ", "1.1.", "iban DE89 ", "secret:  ", "4-"]
+    for text in [*(c * (1_000_000 // len(c)) for c in cues), *((a + b) * (300_000 // len(a + b)) for a in cues for b in cues if a != b)]:
+        start = time.perf_counter()
+        pii.spans_of(text, automaton)
+        assert time.perf_counter() - start < 6, text[:20]
+
+
 def test_query_and_edge_cases(spark, tmp_path):
     automaton = pii.anchors()
     docs = edge_docs(spark)
