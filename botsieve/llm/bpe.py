@@ -15,12 +15,14 @@ letters are lower-cased, and the words of the split pattern become byte
 symbols with a word-end mark on the last.
 
 Defined results: null or empty text has no ids and decodes to the empty text;
-equal texts get equal results; nothing depends on other columns.
+equal texts get equal results; a long text is encoded in runs that end at white
+space; an empty table has no rows; nothing depends on other columns.
 """
 
 import hashlib
 import heapq
 import json
+import sys
 import unicodedata
 from array import array
 
@@ -35,7 +37,9 @@ from .common import batch_udf, struct_array, table, utf8
 VOCAB = "word_bpe_49k.json"
 LONG_WORD = 64          # parts; longer words are merged with a heap
 RUN = 1 << 18           # characters that are split into words at once
-CACHED_WORDS = 400_000  # per task (about 80 MB); the cache is emptied when full
+CACHE_BYTES = 64 << 20  # per task, keys and ids as Python holds them; the cache is emptied when full
+CACHED_CHUNK = 64       # characters; a longer chunk hardly comes again and is not kept
+ENTRY = 104             # bytes of a dictionary's entry, at most
 NONE = 1 << 60          # in place of a rank, for a pair that does not merge
 ID_BITS = 20            # a merge is held as one number: rank, then the new id
 
@@ -63,11 +67,13 @@ class Encoder(dict):
     """Chunks of text without white space -> ids as little-endian bytes.
 
     The mapping is the cache itself: ``self[chunk]`` computes what is missing.
-    A chunk of several words is put together from the words' entries.
+    A chunk of several words is put together from the words' entries. Scripts
+    without spaces give chunks as long as passages: only their words are kept.
     """
 
     def __init__(self, spec: str):
         super().__init__()
+        self.held = 0           # bytes in the cache
         spec = json.loads(spec)
         model = spec["model"]
         vocab, end = model["vocab"], model["end_of_word_suffix"]
@@ -97,9 +103,12 @@ class Encoder(dict):
             ids = array("I", self.merge(chunk.encode("utf-8", "surrogatepass"))).tobytes()
         else:
             ids = b"".join([self[word] for word in words])
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[chunk] = ids
+        if len(chunk) <= CACHED_CHUNK:
+            self.held += sys.getsizeof(chunk) + sys.getsizeof(ids) + ENTRY
+            if self.held > CACHE_BYTES:
+                self.clear()
+                self.held = 0
+            self[chunk] = ids
         return ids
 
     def merge(self, word: bytes) -> list[int]:

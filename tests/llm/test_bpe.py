@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers
 import pyarrow.parquet as pq
@@ -60,10 +61,25 @@ def test_long_texts_in_runs(monkeypatch):
     assert enc.encode(text) == whole and enc.encode(text + "  ") == whole and enc.encode(" ") == b""
 
 
-def test_cache_is_bounded(monkeypatch):
-    monkeypatch.setattr(bpe, "CACHED_WORDS", 10)
+def test_cache_is_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 4000)
     enc = bpe.Encoder(open(PATH, encoding="utf-8").read())
-    assert enc.encode(" ".join(f"word{i}" for i in range(100))) and len(enc) <= 11
+    plain = bpe.Encoder(open(PATH, encoding="utf-8").read())
+    text = " ".join(f"word{i}" for i in range(100))
+    assert enc.encode(text) == plain.encode(text) and enc.held <= 4000 and len(enc) < 20
+
+
+def test_unspaced_scripts_do_not_fill_the_cache():
+    """Passages without spaces, each of another text: their words are kept, not the passages."""
+    enc = bpe.Encoder(open(PATH, encoding="utf-8").read())
+    rnd = random.Random(4)
+    tracemalloc.start()
+    for _ in range(3000):
+        chunk = "".join(chr(rnd.randrange(0x4E00, 0x9FA5)) for _ in range(rnd.choice([20, 300]))) + "。"
+        enc.encode(chunk * 2)
+    assert enc.held <= bpe.CACHE_BYTES and tracemalloc.get_traced_memory()[0] < 1.3 * enc.held + 1e6
+    tracemalloc.stop()
+    assert max(map(len, enc)) <= bpe.CACHED_CHUNK
 
 
 def test_query_and_edge_cases(spark, tmp_path):
