@@ -91,6 +91,17 @@ def slices(texts: pa.Array, most: int = 1 << 18, rows: int = 64) -> Iterator[lis
         yield [t.as_py() or b"" for t in texts[a:b]]
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """``names`` with underscores added until no column has them."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def fold(col: str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts`` (a null id: as the empty text)."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % parts

@@ -10,15 +10,16 @@ dropped once they exceed the limits.
 
 The automaton is built per block of items. A block holds at most
 ``BLOCK_BYTES`` of item text (or one longer item), so what is collected and
-broadcast at once is bounded however large the benchmark is; documents pass
-the blocks one after the other, and their spans are merged. Documents are
-never shuffled.
+broadcast at once is bounded however large the benchmark is. Texts are matched
+against one block after the other and never written for it; what they hit is
+merged.
 
 Words: A-Z in lower case, then runs of digits, letters a-z and non-ASCII
 characters. Defined results: null and empty texts have no words and are never
 contaminated; null and empty items have no windows; an item without an id
-marks words but is not listed; repeated items and ids count once; other
-columns of the documents are kept as they are.
+marks words but is not listed; repeated items and ids count once; empty tables
+give empty results or clean documents; long texts and repetitive items take
+time in proportion to their words; other columns of the documents are kept.
 """
 
 from itertools import repeat
@@ -28,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import batch_udf, struct_array, table, utf8, written
+from .common import batch_udf, struct_array, table, unused, utf8, written
 
 WINDOW = 13
 MAX_SHARE = 20             # contaminated: n_hit * MAX_SHARE >= n_words
 MAX_SPAN = WINDOW          # the pipeline cuts hit spans of so many words out of what stays
 BLOCK_BYTES = 4 << 20      # item text per automaton
+SMALL = 100_000            # rows of hits (spans and items of one text) that may be broadcast
 
 # Bytes of words stay (A-Z in lower case), all others become spaces.
 FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20
@@ -60,6 +62,13 @@ class Automaton:
             last = 0
             for c in codes:
                 last = self.extend(last, c)
+        # Per state, where its path of suffixes first is no longer than a window
+        # would be: one pass in the order of lengths, so that no match climbs.
+        order = sorted(range(1, len(self.link)), key=self.length.__getitem__)
+        self.anchor = [0] * len(self.link)
+        for state in order:
+            up = self.link[state]
+            self.anchor[state] = state if self.length[up] < window else self.anchor[up]
         # Items by the state of their window (or of a whole short item).
         self.full: dict[int, set] = {}
         self.short: dict[int, dict[int, set]] = {}
@@ -75,12 +84,12 @@ class Automaton:
             for c in codes:
                 state, size = self.next[state][c], size + 1
                 if size >= window:
-                    state, size = self.suffix(state, window), window
-                    self.full.setdefault(state, set()).add(name)
-        # Whether a short item ends in the state or on its path of suffixes.
-        self.ends = [False] * len(self.link)
-        for state in sorted(range(len(self.link)), key=self.length.__getitem__):
-            self.ends[state] = state in self.short or (state > 0 and self.ends[self.link[state]])
+                    self.full.setdefault(self.anchor[state], set()).add(name)
+        # The nearest state, from each on its path of suffixes, where a short
+        # item ends (0: none).
+        self.ends = [0] * len(self.link)
+        for state in order:
+            self.ends[state] = state if state in self.short else self.ends[self.link[state]]
 
     def add(self, length: int, state: int | None = None) -> int:
         """A new state, as a copy of ``state`` if given."""
@@ -113,16 +122,11 @@ class Automaton:
         self.link[new] = 0 if state < 0 else self.split(state, c)
         return new
 
-    def suffix(self, state: int, size: int) -> int:
-        """The state of the last ``size`` words of a match that ends in ``state``."""
-        while self.length[self.link[state]] >= size:
-            state = self.link[state]
-        return state
-
     def stream(self, codes: list[int], offset: int, spans: list, found: set) -> int:
         """Streams word numbers; adds hit spans [start, end) and items. The
         longest match is returned."""
         nexts, link, length, ends, window = self.next, self.link, self.length, self.ends, self.window
+        full, anchor, short = self.full, self.anchor, self.short
         state = size = longest = 0
         for at, c in enumerate(codes, offset + 1):
             target = nexts[state].get(c)
@@ -137,30 +141,29 @@ class Automaton:
             if size > longest:
                 longest = size
             if size >= window:
-                found |= self.full[self.suffix(state, window)]
+                found |= full[anchor[state]]
                 if spans and spans[-1][1] >= at - window and spans[-1][0] <= at - window:
                     spans[-1][1] = at
                 else:
                     spans.append([at - window, at])
-            if ends[state]:
-                path = state
-                while path > 0 and ends[path]:
-                    for k, names in self.short.get(path, {}).items():
-                        if k <= size:
-                            found |= names
-                            spans.append([at - k, at])
-                    path = link[path]
+            path = ends[state]
+            while path:          # at most one state for each length below a window
+                for k, names in short[path].items():
+                    if k <= size:
+                        found |= names
+                        spans.append([at - k, at])
+                path = ends[link[path]]
         return longest
 
-    def match(self, data: bytes) -> tuple[int, list, list, int]:
-        """(words, merged hit spans, items, longest match) of one document."""
+    def match(self, data: bytes, longest_too: bool = False) -> tuple[int, list, list, int | None]:
+        """(words, merged hit spans, items, longest match if asked for) of one document."""
         words = words_of(data)
         if not self.ids or not words:
-            return len(words), [], [], 0
+            return len(words), [], [], 0 if longest_too else None
         codes = np.fromiter(map(self.ids.get, words, repeat(-1)), np.int64, len(words))
         # Runs of words that items have; only those at least as long as the
-        # shortest window can hold one. A shorter run is streamed only if it
-        # can hold a longer match than those before, longest runs first.
+        # shortest window can hold one. For the longest match a shorter run is
+        # streamed too, if it can hold a longer one than those before it.
         known = np.concatenate(([False], codes >= 0, [False]))
         edges = np.flatnonzero(known[1:] != known[:-1])
         starts, sizes = edges[::2], edges[1::2] - edges[::2]
@@ -168,13 +171,13 @@ class Automaton:
         for i in np.flatnonzero(sizes >= self.least):
             a, b = int(starts[i]), int(starts[i] + sizes[i])
             longest = max(longest, self.stream(codes[a:b].tolist(), a, spans, found))
-        short = np.flatnonzero((sizes < self.least) & (sizes > longest))
-        for i in short[np.argsort(-sizes[short], kind="stable")]:
+        short = np.flatnonzero((sizes < self.least) & (sizes > longest)) if longest_too else ()
+        for i in sorted(short, key=lambda i: -sizes[i]):
             if sizes[i] <= longest:
                 break
             a, b = int(starts[i]), int(starts[i] + sizes[i])
             longest = max(longest, self.stream(codes[a:b].tolist(), a, spans, found))
-        return len(words), merged(spans), sorted(n for n in found if n is not None), longest
+        return len(words), merged(spans), sorted(n for n in found if n is not None), longest if longest_too else None
 
 
 def merged(spans: list) -> list[tuple[int, int]]:
@@ -222,7 +225,7 @@ def blocks(bench: DataFrame, id_col: str, text_col: str):
 HITS = "n_words bigint, spans array<struct<a:bigint,b:bigint>>, items array<string>, longest bigint"
 
 
-def hit_column(spark: SparkSession, items: list, text: str | Column, window: int) -> Column:
+def hit_column(spark: SparkSession, items: list, text: str | Column, window: int, longest: bool = False) -> Column:
     """struct(n_words, spans, items, longest) of a text against one block."""
     block = spark.sparkContext.broadcast(items)
     span = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
@@ -232,7 +235,7 @@ def hit_column(spark: SparkSession, items: list, text: str | Column, window: int
         automaton = Automaton(block.value, window)
 
         def run(texts):
-            rows = [automaton.match(t.as_py() or b"") for t in texts]
+            rows = [automaton.match(t.as_py() or b"", longest) for t in texts]
             return struct_array(kinds, [[r[0] for r in rows],
                                         [[{"a": a, "b": b} for a, b in r[1]] for r in rows],
                                         [r[2] for r in rows], [r[3] for r in rows]])
@@ -240,35 +243,53 @@ def hit_column(spark: SparkSession, items: list, text: str | Column, window: int
     return batch_udf(make, HITS)(utf8(text))
 
 
+def further_hits(docs: DataFrame, items: list, text: str, window: int, longest: bool) -> DataFrame:
+    """(key, spans, items, longest) of the distinct texts that one more block
+    hits, by the texts' digest: a written table without texts."""
+    found = docs.select(digest_of(text).alias("key"), hit_column(docs.sparkSession, items, text, window, longest).alias("h"))
+    found = found.filter((F.size("h.spans") > 0) | (F.col("h.longest") > 0)).select("key", "h.spans", "h.items", "h.longest")
+    return written(found.dropDuplicates(["key"]), "hits")
+
+
+def digest_of(text: str) -> Column:
+    return F.unhex(F.md5(utf8(text)))
+
+
 def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, text: str = "text",
-                  item_id: str = "item_id", item_text: str = "text", out: str = "hits") -> DataFrame:
+                  item_id: str = "item_id", item_text: str = "text", out: str = "hits", longest: bool = False) -> DataFrame:
     """``docs`` with a struct column ``out`` (in place of one so named): n_words, n_hit, spans (of word
-    places), items (ids), longest match and the contaminated flag."""
-    spark, parts = docs.sparkSession, []
-    found = [c for c in docs.columns if c != out]
+    places), items (ids), the contaminated flag and, if asked for, the longest match.
+
+    The first block is matched in place. Each further one reads the texts again
+    and writes what it hits, which is joined back by the texts' digest: by
+    broadcast if it is small, otherwise by a shuffle."""
+    spark = docs.sparkSession
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != out]
     listed = blocks(bench, item_id, item_text)
-    items = next(listed)
-    while items is not None:
-        name = f"{out}_block{len(parts)}"
-        docs = docs.withColumn(name, hit_column(spark, items, text, window))
-        parts.append(name)
-        items = next(listed, None)
-        if items is not None or len(parts) > 1:
-            docs = written(docs, "decontaminate")
-    if len(parts) == 1:
-        spans, names = F.col(f"{parts[0]}.spans"), F.col(f"{parts[0]}.items")
-        longest = F.col(f"{parts[0]}.longest")
-    else:
-        spans = F.concat(*[F.col(f"{p}.spans") for p in parts])
-        names = F.concat(*[F.col(f"{p}.items") for p in parts])
-        longest = F.greatest(*[F.col(f"{p}.longest") for p in parts])
+    first, others = next(listed), None
+    for items in listed:
+        found = further_hits(docs, items, text, window, longest)
+        others = found if others is None else others.unionByName(found)
+    own, key, more = unused(docs.columns, "hits_own", "hits_key", "hits_more")
+    docs = docs.withColumn(own, hit_column(spark, first, text, window, longest))
+    spans, names, far = F.col(f"{own}.spans"), F.col(f"{own}.items"), F.col(f"{own}.longest")
+    if others is not None:
+        others = others.groupBy(F.col("key").alias(key)).agg(F.struct(
+            F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"),
+            F.max("longest").alias("longest")).alias(more))       # at most one row for each block
+        others = written(others, "hits")
+        docs = docs.withColumn(key, digest_of(text)).join(F.broadcast(others) if others.count() <= SMALL else others, key, "left")
+        nothing = F.expr("cast(array() AS array<struct<a:bigint,b:bigint>>)"), F.expr("cast(array() AS array<string>)")
+        spans = F.concat(spans, F.coalesce(F.col(f"{more}.spans"), nothing[0]))
+        names = F.concat(names, F.coalesce(F.col(f"{more}.items"), nothing[1]))
+        far = F.greatest(far, F.col(f"{more}.longest"))
     reach = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("end"))
     n_hit = F.aggregate(F.sort_array(spans), reach, lambda s, x: F.struct(
         (s["n"] + F.greatest(F.lit(0), x["b"] - F.greatest(x["a"], s["end"]))).alias("n"),
         F.greatest(s["end"], x["b"]).alias("end")), lambda s: s["n"])
-    docs = docs.select(*[F.col(f"`{c}`") for c in found], F.struct(
-        F.col(f"{parts[0]}.n_words").alias("n_words"), n_hit.alias("n_hit"), F.sort_array(spans).alias("spans"),
-        F.array_sort(F.array_distinct(names)).alias("items"), longest.alias("longest")).alias(out))
+    docs = docs.select(*kept, F.struct(
+        F.col(f"{own}.n_words").alias("n_words"), n_hit.alias("n_hit"), F.sort_array(spans).alias("spans"),
+        F.array_sort(F.array_distinct(names)).alias("items"), far.alias("longest")).alias(out))
     share = F.col(f"{out}.n_hit") * MAX_SHARE >= F.col(f"{out}.n_words")
     return docs.withColumn(out, F.col(out).withField("contaminated", (F.col(f"{out}.n_hit") > 0) & share))
 
@@ -314,7 +335,8 @@ def decontaminate(docs: DataFrame, bench: DataFrame, window: int = WINDOW, text:
     length, which follows a cut. All else stays as it is."""
     if on_coverage not in ("drop", "cut"):
         raise ValueError(f"on_coverage must be drop or cut, not {on_coverage!r}")
-    hits, after, gone, columns_kept = "__hits", "__after", "__gone", [F.col(f"`{c}`") for c in docs.columns]
+    hits, after, gone = unused(docs.columns, "hits", "after", "gone")
+    columns_kept = [F.col(f"`{c}`") for c in docs.columns]
     kind = dict(docs.dtypes).get(chars)
     done = None
     while True:

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch_udf, table, utf8, written
+from .common import batch_udf, table, unused, utf8, written
 from .components import components
 
 SHINGLE, MAX_BITS, SEGMENTS = 3, 2, 2
@@ -162,7 +162,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shi
     """``docs`` with one row of each component: that of the smallest id (nulls
     last; of repeated rows, any one). Rows and texts are not shuffled unless
     the list of rows to drop is too long to be broadcast."""
-    row, fp = "__row", "__fp"
+    row, fp = unused(docs.columns, "row", "fp")
     marked = written(docs.withColumn(row, F.monotonically_increasing_id())
                      .withColumn(fp, fingerprint_column(text, shingle)), "marked")
     slim = marked.select(F.col(f"`{id_col}`").alias("id"), F.col(row).alias("row"), F.col(fp).alias("fp"))

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from llm_cases import edge_docs, edge_rows, no_docs, save
 
@@ -28,6 +29,11 @@ def slow(text, items, size=13):
     return doc, hit, found
 
 
+def longest_by_hand(doc, items):
+    return max((n for _, item in items for w in [words(item)] for i in range(len(doc)) for n in range(1, len(doc) - i + 1)
+                if any(w[k:k + n] == doc[i:i + n] for k in range(len(w) - n + 1))), default=0)
+
+
 def test_automaton_against_brute_force():
     rnd = random.Random(3)
     for _ in range(1500):
@@ -36,10 +42,12 @@ def test_automaton_against_brute_force():
         items = [(str(i), make(rnd.randrange(30 if size == 13 else 12))) for i in range(rnd.randrange(6))]
         text = make(rnd.randrange(60))
         doc, hit, found = slow(text, items, size)
-        n, spans, names, longest = d.Automaton([(i, t.encode()) for i, t in items], size).match(text.encode())
+        n, spans, names, longest = d.Automaton([(i, t.encode()) for i, t in items], size).match(text.encode(), True)
         assert n == len(doc) and names == sorted(found)
         assert {p for a, b in spans for p in range(a, b)} == hit
-        assert longest >= max((b - a for a, b in spans), default=0) * 0 and all(a < b for a, b in spans)
+        assert all(a < b for a, b in spans)
+        if len(doc) < 25:
+            assert longest == longest_by_hand(doc, items)
 
 
 def rows_of(df):
@@ -134,7 +142,7 @@ def test_longest_match_against_brute_force():
         parts = {tuple(w[i:j]) for w in items for i in range(len(w)) for j in range(i + 1, len(w) + 1)}
         want = max((j - i for i in range(len(text)) for j in range(i + 1, len(text) + 1) if tuple(text[i:j]) in parts), default=0)
         automaton = d.Automaton([(str(i), " ".join(w).encode()) for i, w in enumerate(items)])
-        assert automaton.match(" ".join(text).encode())[3] == want
+        assert automaton.match(" ".join(text).encode(), True)[3] == want
 
 
 def test_blocks_keep_their_bound(spark, monkeypatch):
@@ -149,3 +157,33 @@ def test_blocks_keep_their_bound(spark, monkeypatch):
     assert all(n <= 1000 or len(b) == 1 for n, b in zip(sizes, got))
     assert len(got) < 3 * sum(sizes) / 1000
     assert list(d.blocks(bench.limit(0), "item_id", "text")) == [[]]
+
+
+def test_repetitive_items_take_linear_time():
+    """Items and texts of one word over and over, with a short item inside."""
+    start = time.perf_counter()
+    items = [("long", b"a " * 4000), ("ab", b"a b " * 3000), ("short", b"a"), ("pair", b"a a b")]
+    automaton = d.Automaton(items)
+    for text in (b"a " * 200_000, b"a b " * 100_000, (b"a " * 4001 + b"c ") * 50):
+        n, spans, names, _ = automaton.match(text)
+        assert n == len(text.split()) and "short" in names and (names == ["ab", "short"] if b"b" in text else "long" in names)
+    assert time.perf_counter() - start < 20
+
+
+def test_texts_are_not_written_for_further_blocks(spark, monkeypatch):
+    """Twenty blocks: tables of hits by digest, no column of texts, and the same result."""
+    rnd = random.Random(9)
+    items = [(i, " ".join(rnd.choice("abcdefgh") for _ in range(20))) for i in range(20)]
+    docs = [(i, " ".join(rnd.choice("abcdefgh") for _ in range(40)) + (" " + items[i][1] if i < 15 else "")) for i in range(25)] * 2
+    docs = spark.createDataFrame([(*r, "x", "y") for r in docs], "doc_id bigint, text string, hits_own string, hits_key string")
+    bench = spark.createDataFrame(items, BENCH)
+    pick = lambda: sorted((r.doc_id, r.hits.n_words, r.hits.n_hit, r.hits["items"], r.hits.longest, r.hits_own, r.hits_key)
+                          for r in d.contamination(docs, bench, 5, longest=True).collect())
+    one, tables = pick(), []
+    monkeypatch.setattr(d, "BLOCK_BYTES", 50)
+    monkeypatch.setattr(d, "written", lambda df, name, f=d.written: tables.append((name, df.columns)) or f(df, name))
+    assert pick() == one
+    assert sum(name == "hits" for name, _ in tables) == 20      # 19 further blocks, and their sum
+    assert all(name.startswith("bench") or not {"text", "doc_id"} & set(columns) for name, columns in tables)
+    monkeypatch.setattr(d, "SMALL", 0)
+    assert pick() == one
