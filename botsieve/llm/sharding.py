@@ -1,16 +1,18 @@
 """Shards with the corpus' mixture, by proportional stratified interleaving.
 
 Rows of each source are put in a seeded shuffled order and ranked. The rank as
-a fraction of the source's size, ``(2 r - 1) / (2 n)``, spreads every source
-evenly over (0, 1); sorting all rows by that fraction interleaves the sources
-in proportion, and cutting the order into equal runs gives shards whose counts
-differ by at most one and whose share of each source matches the corpus'.
+a fraction of the source's size, ``(r - u) / n`` with an offset u in [0, 1) from
+the source's name, spreads every source evenly over (0, 1]; sorting all rows by
+that fraction interleaves the sources in proportion, and cutting the order into
+equal runs gives shards whose counts differ by at most one and whose share of
+each source matches the corpus'. The offset keeps apart what many sources have
+in common: of a million sources of one row each, every fraction is another.
 
 *Scale.* Neither rank is taken in one task. Both orders are dealt into buckets
 of about ``ROWS`` rows, first by the leading bits of the shuffle hash within a
 source, then by the fraction; rows are ranked inside their bucket, and the
-buckets' counts, summed up in order, give the rest. Hashes and fractions are
-even by construction, so a source with a third of all rows is spread over as
+buckets' counts, summed up in order, give the rest. Hashes are even, and so are
+fractions, be it by the ranks of a source or by the offsets of many, so a source with a third of all rows is spread over as
 many buckets as its rows need. Texts are read once, for size and digests, and
 are not shuffled.
 
@@ -37,6 +39,11 @@ def shuffle_hash(id_col: str, text: str, seed: int) -> Column:
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 
+def offset(stratum: str) -> Column:
+    """In [0, 1), from a source's name: a multiple of 2 to the power -48."""
+    return F.conv(F.substring(F.md5(F.col(stratum).cast("binary")), 1, 12), 16, 10).cast("double") / float(1 << 48)
+
+
 def bucketed_rank(rows: DataFrame, within: list[str], bucket: str, order: list) -> DataFrame:
     """``rows`` with ``__rank`` from 1 and the size ``__n`` of each ``within``.
     Buckets follow the order; ranks are local to a bucket, and the buckets
@@ -69,7 +76,7 @@ def interleave(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, id_col:
     bits = max(0, (max(total, 1) // ROWS).bit_length())
     rows = slim.withColumn("__bucket", F.shiftright("__hash", HASH_BITS - bits))
     ranked = bucketed_rank(rows, ["__stratum"], "__bucket", ["__hash", "__id", "text_crc32", "size"])
-    fraction = (2 * F.col("__rank") - 1).cast("double") / (2 * F.col("__n")).cast("double")
+    fraction = (F.col("__rank").cast("double") - offset("__stratum")) / F.col("__n").cast("double")
     spread = written(ranked.select("__id", "__source", "__stratum", "size", "text_crc32", F.col("__rank").alias("__own"),
                                    fraction.alias("__fraction"), F.lit(0).alias("__all"),
                                    F.floor(fraction * (1 << bits)).alias("__bucket")), "fractions")
@@ -109,7 +116,8 @@ r AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY h, doc_id, text_crc32, size) AS own,
          count(*) OVER (PARTITION BY source) AS n, count(*) OVER () AS total FROM b),
 p AS (
-  SELECT *, row_number() OVER (ORDER BY CAST(2 * own - 1 AS DOUBLE) / CAST(2 * n AS DOUBLE),
+  SELECT *, row_number() OVER (ORDER BY
+         (CAST(own AS DOUBLE) - CAST(CAST('0x' || substr(md5(coalesce('=' || source, '')), 1, 12) AS BIGINT) AS DOUBLE) / {float(1 << 48)}) / CAST(n AS DOUBLE),
          coalesce('=' || source, ''), own) - 1 AS place FROM r)
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law,
        CAST(place * {SHARDS} // total AS INTEGER) AS shard,

@@ -60,3 +60,14 @@ def test_hot_source_is_spread(spark):
     assert most < 2 * sharding.ROWS
     rows = sharding.interleave(docs).groupBy("shard").agg(F.count("*").alias("n"), F.count_if(F.col("source") == "hot").alias("h"))
     assert {(r.n, abs(r.h - 2500) <= 2) for r in rows.collect()} == {(5000, True)}
+
+
+def test_sources_of_one_row_are_spread(spark):
+    """A source per row, as of hosts: no bucket of the second ranking is much above ``ROWS``."""
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.concat(F.lit("host"), "id").alias("source"))
+    bits = (40_000 // sharding.ROWS).bit_length()
+    place = F.floor((F.lit(1.0) - sharding.offset("s")) * (1 << bits))
+    most = docs.select(F.concat(F.lit("="), "source").alias("s")).groupBy(place.alias("b")).count().agg(F.max("count")).first()[0]
+    assert most < 2 * sharding.ROWS
+    rows = sharding.interleave(docs).groupBy("shard").agg(F.count("*").alias("n"), F.max("slot").alias("last"))
+    assert {(r.n, r["last"]) for r in rows.collect()} == {(5000, 4999)}
