@@ -125,7 +125,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
         yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()]), pa.array([b.tobytes()]), pa.array([n])],
                                          names=["a", "b", "n"])
 
-    parts = chosen.select("text", "lang").repartition(PARTS, F.xxhash64("text")).mapInArrow(sums, "a binary, b binary, n bigint").collect()
+    # Dealt by row, so that copies of one text are spread; the sums are the same.
+    dealt = chosen.withColumn("n", F.monotonically_increasing_id()).repartition(PARTS, "n").select("text", "lang")
+    parts = dealt.mapInArrow(sums, "a binary, b binary, n bigint").collect()
     a = sum(np.frombuffer(p["a"]).reshape(len(z), len(z)) for p in parts)
     b = sum(np.frombuffer(p["b"]).reshape(len(z), len(names)) for p in parts)
     a, b = root @ a @ root, root @ b
