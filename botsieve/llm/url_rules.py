@@ -40,10 +40,13 @@ SITES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
          ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 # ... and the patterns (name, expression, literal tokens, verdict).
 PATTERNS = (("admin", "/(wp-)?admin/", ("admin",), "block"),
-            ("session", "[?&](phpsessid|sid)=[0-9a-f]{16}", (), "block"),
+            ("session", "[?&]phpsessid=[0-9a-f]{16}", ("phpsessid",), "block"),
+            ("session", "[?&]sid=[0-9a-f]{16}", ("sid",), "block"),
             ("calendar", "/calendar/[0-9]{4}/", ("calendar",), "block"),
             ("cart", "/cart([/?]|$)", ("cart",), "block"),
-            ("program", "[.](exe|zip|iso)$", (), "block"))
+            ("program", "[.]exe$", ("exe",), "block"),
+            ("program", "[.]zip$", ("zip",), "block"),
+            ("program", "[.]iso$", ("iso",), "block"))
 
 
 @dataclass(frozen=True)
