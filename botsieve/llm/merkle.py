@@ -63,7 +63,8 @@ def digest(parts: list[Column]) -> Column:
 # Ranks.
 
 def before(words: DataFrame) -> DataFrame:
-    """``words`` (g, w, held ...) with ``before``, the rows of g in smaller words."""
+    """``words`` (g, w, held ...) with ``before``, the rows of g in smaller words,
+    and ``of``, all rows of g."""
     levels, at = [], words.select("g", F.col("w").alias("k0"), "held")
     for i, shift in enumerate(DIGITS):
         step = shift - (DIGITS[i - 1] if i else 0)
@@ -72,17 +73,18 @@ def before(words: DataFrame) -> DataFrame:
         at = at.groupBy("g", f"k{i + 1}").agg(F.sum("held").alias("held"))
     top = len(DIGITS)
     order = Window.partitionBy("g").orderBy(f"k{top}")
-    sums = at.select("g", f"k{top}", (F.sum("held").over(order) - F.col("held")).alias("before"))
+    sums = at.select("g", f"k{top}", (F.sum("held").over(order) - F.col("held")).alias("before"),
+                     F.sum("held").over(Window.partitionBy("g")).alias("of"))
     for i in reversed(range(top)):
         order = Window.partitionBy("g", f"k{i + 1}").orderBy(f"k{i}")
         inside = levels[i].select("g", f"k{i}", f"k{i + 1}", (F.sum("held").over(order) - F.col("held")).alias("inside"))
-        sums = inside.join(sums, ["g", f"k{i + 1}"]).select("g", f"k{i}", (F.col("before") + F.col("inside")).alias("before"))
+        sums = inside.join(sums, ["g", f"k{i + 1}"]).select("g", f"k{i}", (F.col("before") + F.col("inside")).alias("before"), "of")
     return words.join(sums.withColumnRenamed("k0", "w"), ["g", "w"])
 
 
 def rank_by(rows: DataFrame, key: Column, again) -> DataFrame:
     """``rows`` (g, ...) with ``rank``: how many rows of g have a smaller key,
-    a bigint. Rows that share their key are ranked further by ``again``, a
+    a bigint, and ``of``: how many rows g has. Rows that share their key are ranked further by ``again``, a
     function of those rows with a new group (g, key) in place of g."""
     rows = rows.withColumn("key", key).withColumn("w", F.shiftright("key", 6))
     bit, lower = F.expr("shiftleft(1L, cast(key & 63 AS int))"), F.expr("~shiftleft(-1L, cast(key & 63 AS int))")
@@ -100,10 +102,10 @@ def rank_by(rows: DataFrame, key: Column, again) -> DataFrame:
     found = found.select("*", F.when(plain, F.col("before") + below).alias("single")).drop("bits", "held", "before")
     found = found.join(ids, ["g", "w", "key"], "left")
     placed = written(found.select("*", F.coalesce("single", "rank").alias("at")).drop("single", "w", "rank"), "placed")
-    outer, start = (f"{c}{len(rows.columns)}" for c in ("outer", "start"))   # turns are nested
+    outer, start, size = (f"{c}{len(rows.columns)}" for c in ("outer", "start", "size"))   # turns are nested
     tied = placed.filter("same > 1").withColumn(outer, F.col("g")).withColumn("g", F.struct("g", "key"))
-    further = again(tied.withColumnRenamed("at", start).drop("key", "same"))
-    further = further.withColumn("g", F.col(outer)).withColumn("rank", F.col("rank") + F.col(start)).drop(outer, start)
+    further = again(tied.withColumnsRenamed({"at": start, "of": size}).drop("key", "same"))
+    further = further.withColumns({"g": F.col(outer), "rank": F.col("rank") + F.col(start), "of": F.col(size)}).drop(outer, start, size)
     return placed.filter("same IS NULL OR same = 1").drop("key", "same").withColumnRenamed("at", "rank").unionByName(further)
 
 
@@ -178,7 +180,7 @@ def arrays(nodes: DataFrame, extra: list[str] = ()) -> DataFrame:
 
 
 def tops(blocks: DataFrame) -> DataFrame:
-    """(g, n, slot, node) of the arrays' top nodes, as nodes of the next band."""
+    """(g, n, slot, node, done) of the arrays' top nodes, as nodes of the next band."""
     @F.arrow_udf("string")
     def top(members: pa.Array, n: pa.Array) -> pa.Array:
         return pa.array([levels_of([r["node"].encode() for r in placed], size.as_py() <= SLOTS)[-1][0].decode()
@@ -203,8 +205,8 @@ def forest(nodes: DataFrame, extra: list[str] = ()) -> tuple[list[DataFrame], Da
 
 
 def paths(band: DataFrame, above: DataFrame) -> DataFrame:
-    """(g, block, path) of the band below: each node of ``band`` with the siblings
-    on its way up. ``above``: (g, block, path) of the arrays."""
+    """(g, block, path, subroot) of the band below: each node of ``band`` with the
+    siblings on its way up. ``above``: the same of the arrays."""
     @F.arrow_udf("array<struct<place:int,path:string>>")
     def down(members: pa.Array, n: pa.Array, upper: pa.Array) -> pa.Array:
         out = []
@@ -214,18 +216,18 @@ def paths(band: DataFrame, above: DataFrame) -> DataFrame:
             out.append([{"place": i, "path": flat(siblings(levels, i) + tail)} for i in range(len(placed))])
         return pa.array(out, pa.list_(pa.struct([("place", pa.int32()), ("path", pa.string())])))
     nodes = F.transform("slots", lambda s: F.struct(s["place"].alias("place"), s["node"].alias("node")))
-    found = band.join(above, ["g", "block"]).select("g", "block", F.explode(down(nodes, "n", "path")).alias("s"))
-    return found.select("g", (F.col("block") * SLOTS + F.col("s.place")).alias("block"), F.col("s.path").alias("path"))
+    found = band.join(above, ["g", "block"]).select("g", "block", "subroot", F.explode(down(nodes, "n", "path")).alias("s"))
+    return found.select("g", (F.col("block") * SLOTS + F.col("s.place")).alias("block"), F.col("s.path").alias("path"), "subroot")
 
 
 PROOF = ("id bigint, leaf string, subroot string, root string, proof string, proof_sha256 string, folded_root string, "
          "verified boolean")
 
 
-def prove(blocks: DataFrame, texts: bool) -> DataFrame:
-    """One row per leaf of arrays (slots with id, node, other; n, path, subroot,
-    root): its siblings up to the root, their digest, and the root that
-    ``other`` (a changed leaf, if any) leads to."""
+def prove(blocks: DataFrame, root: str, texts: bool) -> DataFrame:
+    """One row per leaf of arrays (slots with id, node, other; n, path, subroot):
+    its siblings up to the root, their digest, and the root that ``other`` (a
+    changed leaf, if any) leads to."""
     small_batches(blocks.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,8 +235,8 @@ def prove(blocks: DataFrame, texts: bool) -> DataFrame:
             ("id", pa.int64()), *((c, pa.string()) for c in ("leaf", "subroot", "root", "proof", "proof_sha256", "folded_root")),
             ("verified", pa.bool_())])
         for batch in batches:
-            rest = [batch.column(c).to_pylist() for c in ("n", "path", "subroot", "root")]
-            for placed, n, path, subroot, root in zip(slots(batch.column("slots")), *rest):
+            rest = [batch.column(c).to_pylist() for c in ("n", "path", "subroot")]
+            for placed, n, path, subroot in zip(slots(batch.column("slots")), *rest):
                 levels = levels_of([r["node"].encode() for r in placed], n <= SLOTS)
                 tail, rows = opened(path), []
                 upper = b"".join(a + b for a, b in tail)
@@ -248,12 +250,12 @@ def prove(blocks: DataFrame, texts: bool) -> DataFrame:
                     rows.append((row["id"], row["node"], subroot, root, proof.decode() if texts else None,
                                  sha(proof).hexdigest(), folded, folded == root))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kinds)], schema=kinds)
-    return blocks.select("n", "path", "subroot", "root", "slots").mapInArrow(run, PROOF)
+    return blocks.select("n", "path", "subroot", "slots").mapInArrow(run, PROOF)
 
 
 class Manifest:
     """A manifest of ``docs``: ``sources`` (source, n, subroot, slot), ``root``
-    (one row, or none of an empty table) and ``proofs``."""
+    (a digest; None of an empty table) and ``proofs``."""
 
     def __init__(self, docs: DataFrame, columns: tuple[str, ...] = COLUMNS, id_col: str = "doc_id", source: str = "source",
                  tampered: tuple[str, Column, Column] | None = None):
@@ -269,38 +271,34 @@ class Manifest:
                              digest(list(named.values())).alias("node"), changed.alias("other"), F.monotonically_increasing_id().alias("row"))
         leaves = written(leaves, "leaves")
         spread = F.conv(F.substring("node", 1, 15), 16, 10).cast("bigint")
-        totals = leaves.groupBy("g").agg(F.count("*").alias("n"))
-        placed = ranked(leaves, [F.coalesce("id", F.lit(LEAST)), spread, F.col("row")]).withColumnRenamed("rank", "slot")
-        placed = placed.join(totals, "g")
+        placed = ranked(leaves, [F.coalesce("id", F.lit(LEAST)), spread, F.col("row")]).withColumnsRenamed({"rank": "slot", "of": "n"})
         self.bands, subroots = forest(placed, ["id", "other"])
-        names = subroots.join(totals, "g").withColumnRenamed("g", "tree").withColumn("g", F.lit(""))
+        names = subroots.select(F.lit("").alias("g"), F.col("g").alias("tree"), "node")
         plain = F.when(F.col("tree") != "", F.expr("substring(tree, 2)"))
-        names = ranked_names(names, plain)
-        self.trees = written(names.select("tree", "n", F.col("node").alias("subroot"), F.col("rank").alias("slot")), "sources")
-        self.sources = self.trees.select(plain.alias("source"), "n", "subroot", "slot")
-        top = self.trees.select(F.lit("").alias("g"), F.lit(self.trees.count()).cast("bigint").alias("n"), "slot", F.col("subroot").alias("node"))
-        self.top, roots = forest(top)
-        self.root = roots.select(F.col("node").alias("root"))
+        self.trees = written(ranked_names(names, plain), "sources")
+        counts = leaves.groupBy(F.col("g").alias("tree")).agg(F.count("*").alias("n"))
+        self.sources = self.trees.join(counts, "tree").select(plain.alias("source"), "n", F.col("node").alias("subroot"), F.col("rank").alias("slot"))
+        self.top, roots = forest(self.trees.select("g", F.col("of").alias("n"), F.col("rank").alias("slot"), "node"))
+        found = roots.first()           # one row, or none
+        self.root = found.node if found else None
 
     def proofs(self, texts: bool = True) -> DataFrame:
         """(id, leaf, subroot, root, proof, proof_sha256, folded_root, verified)
         for every row; ``proof`` (all siblings in a row) only on request."""
-        spark = self.root.sparkSession
-        way = spark.createDataFrame([("", 0, "")], "g string, block bigint, path string")
+        spark = self.trees.sparkSession
+        way = spark.createDataFrame([("", 0, "", None)], "g string, block bigint, path string, subroot string")
         for band in reversed(self.top):
             way = paths(band, way)
-        way = way.join(self.trees, F.col("block") == F.col("slot")).select(F.col("tree").alias("g"), "path", "subroot")
-        roots = way.select("g", "subroot")
-        here, start = None, way.select("g", F.lit(0).cast("bigint").alias("block"), "path")
+        way = way.drop("g").join(self.trees, F.col("block") == F.col("rank"))
+        start = way.select(F.col("tree").alias("g"), F.lit(0).cast("bigint").alias("block"), "path", F.col("node").alias("subroot"))
+        here = None
         for height in reversed(range(len(self.bands))):
             # Trees whose only array lies in this band begin here.
             single = start.join(self.bands[height].filter(F.col("n") <= SLOTS).select("g").distinct(), "g", "left_semi")
             here = single if here is None else here.unionByName(single)
             if height:
                 here = paths(self.bands[height], here)
-        root = F.broadcast(self.root)     # one row
-        blocks = self.bands[0].join(here, ["g", "block"]).join(roots, "g").withColumn("one", F.lit(1))
-        return prove(blocks.join(root.withColumn("one", F.lit(1)), "one"), texts)
+        return prove(self.bands[0].join(here, ["g", "block"]), self.root, texts)
 
 
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
