@@ -50,6 +50,7 @@ LEAST_LENGTH, LEAST_COUNT, FACTOR, DAMAGE = 7, 2, 10, 31
 PIECE = 1 << 18                  # characters of a text that are split into runs at once
 COUNTED = 100_000                # words that a task holds before it hands out their counts
 BUCKET = 1000                    # words of a signature that are joined with each other
+DEALT = 20_000                   # words of a task that makes signatures
 SMALL = 200_000                  # crowded signatures (8 bytes each) that may be broadcast
 
 
@@ -118,7 +119,7 @@ def signatures(word: str) -> list[tuple[int, int]]:
 
 
 def signature_rows(found: DataFrame) -> DataFrame:
-    """(signature, role, word) of every word."""
+    """(signature, role, word) of every word of a written table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, roles, names, size = [], [], [], 0
@@ -132,7 +133,9 @@ def signature_rows(found: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(roles, pa.int8()), pa.array(names)], names=["signature", "role", "word"])
                     keys, roles, names, size = [], [], [], 0
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(roles, pa.int8()), pa.array(names, pa.string())], names=["signature", "role", "word"])
-    return found.select("word").mapInArrow(run, "signature bigint, role tinyint, word string")
+    # A table of words is short on disk, but a word has many signatures.
+    dealt = found.select("word").repartition(found.count() // DEALT + 1, "word")
+    return dealt.mapInArrow(run, "signature bigint, role tinyint, word string")
 
 
 def without_one(crowd: DataFrame) -> DataFrame:
