@@ -25,12 +25,16 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from botsieve.functions.parse import decode_value, parse_events, with_event_time
+from botsieve.operators.committed import CommittedBots
 from botsieve.params import BLOCK_TTL_HOURS, KAFKA_BOOTSTRAP, KAFKA_TOPIC, Thresholds, WindowSpec
 from botsieve.session import get_session, shared_root
-from botsieve.streaming.detector import (block_list_sink, bots_fresh, detect, kafka_stream,
+from botsieve.streaming.detector import (block_list_sink, bots_fresh, committed_sink, detect, kafka_stream,
                                          run_available_now, text_stream)
 
 
+VACUUM_TICKS = 100    # ticks of a job between clean-ups of the commit-logged table
+
+
 @dataclass
 class DetectorJob:
     """Q1/Q2/Q3 as a restartable streaming job."""
@@ -47,6 +51,10 @@ class DetectorJob:
     # Entries expire this long after creation; an expired address can be
     # listed again. None keeps entries forever.
     ttl_hours: int | None = BLOCK_TTL_HOURS
+    # "files": a folder of Parquet files, one writer. "commits": the
+    # commit-logged table, for any number of jobs, expired and compacted as
+    # it is written.
+    list_format: str = "files"
 
     def lines(self) -> DataFrame:
         if self.kafka_servers:
@@ -60,14 +68,19 @@ class DetectorJob:
     def plan(self, as_of: datetime | None = None) -> DataFrame:
         bots = None
         if self.lookup:
-            bots = bots_fresh(self.spark, self.bots_path, as_of, self.ttl_hours or 0)
+            if self.list_format == "commits":
+                bots = CommittedBots(self.spark, self.bots_path).read(as_of, self.ttl_hours or 0)
+            else:
+                bots = bots_fresh(self.spark, self.bots_path, as_of, self.ttl_hours or 0)
         return detect(self.lines(), self.spec, self.thresholds, bots=bots)
 
     def tick(self) -> None:
-        as_of = self.now()
-        run_available_now(self.plan(as_of), self.checkpoint, "update",
-                          batch_fn=block_list_sink(self.bots_path, as_of=as_of,
-                                                   ttl_hours=self.ttl_hours or 0))
+        as_of, ttl_hours = self.now(), self.ttl_hours or 0
+        if self.list_format == "commits":
+            sink = committed_sink(self.bots_path, self.checkpoint, created_at=as_of, as_of=as_of, ttl_hours=ttl_hours)
+        else:
+            sink = block_list_sink(self.bots_path, as_of=as_of, ttl_hours=ttl_hours)
+        run_available_now(self.plan(as_of), self.checkpoint, "update", batch_fn=sink)
 
     def run(self, ticks: int = 1, interval: float = 60.0) -> None:
         """``ticks=0`` runs until stopped."""
@@ -75,6 +88,8 @@ class DetectorJob:
         while ticks == 0 or n < ticks:
             started = time.monotonic()
             self.tick()
+            if self.list_format == "commits" and n % VACUUM_TICKS == 0:
+                CommittedBots(self.spark, self.bots_path).vacuum()
             n += 1
             if ticks == 0 or n < ticks:
                 time.sleep(max(0.0, interval - (time.monotonic() - started)))
@@ -95,6 +110,7 @@ def main(argv: list[str] | None = None) -> None:
     d.add_argument("--kafka", help="bootstrap servers; read the topic instead of a folder")
     d.add_argument("--topic", default=KAFKA_TOPIC)
     d.add_argument("--bots", required=True, help="bot table folder (parquet)")
+    d.add_argument("--list-format", choices=("files", "commits"), default="files", help="form of the bot table")
     d.add_argument("--checkpoint", help="checkpoint folder (default: below spark.checkpoint.dir)")
     d.add_argument("--no-lookup", action="store_true", help="Q1: do not drop listed addresses first")
     d.add_argument("--window", default=WindowSpec().duration)
@@ -115,7 +131,7 @@ def main(argv: list[str] | None = None) -> None:
         source_dir=args.source, kafka_servers=args.kafka, kafka_topic=args.topic,
         spec=WindowSpec(args.window, args.slide, args.watermark),
         thresholds=Thresholds(args.max_amount, args.max_rate, args.max_categories),
-        lookup=not args.no_lookup)
+        lookup=not args.no_lookup, list_format=args.list_format)
     job.run(args.ticks, args.interval)
 
 
