@@ -8,16 +8,19 @@ them) and returns a batch DataFrame. Window structs are flattened to
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from botsieve.functions.features import click_view_rate, count_of_type
+from botsieve.functions.features import click_view_rate, count_of_type, ts_lit
 from botsieve.functions.parse import corrupt_records, decode_value, groom, parse_events
 from botsieve.operators import relational as R
-from botsieve.operators.blocklist import (active, antijoin_bots, flagged_ips, merge_into, read_bots,
+from botsieve.operators.blocklist import (active, antijoin_bots, flagged_ips, merge_into, one_row_per_ip, read_bots,
                                           semijoin_bots, write_bots)
+from botsieve.operators.committed import CommittedBots
+from botsieve.operators.jointree import Join, Table, join_tree
+from botsieve.operators.ranges import range_join
 from botsieve.operators.windows import flatten_window, window_features
 from botsieve.params import DAILY, Thresholds, WindowSpec
 from botsieve.plans import oracle as O
@@ -25,7 +28,11 @@ from botsieve.plans.detect import bots_as_of, flagged_after_lookup, flagged_wind
 from botsieve.session import pin_utc, work_dir
 from botsieve.sources.events import clicks_from_events, event_lines, kafka_records
 from botsieve.sources.tables import as_global_view, as_view, table
-from botsieve.streaming.rounds import stream_antijoin, stream_block_list, stream_flagged_windows, stream_text
+from botsieve.streaming.closing import run_distinct_categories
+from botsieve.streaming.rounds import (round_starts, stream_antijoin, stream_block_list, stream_block_list_expiry,
+                                       stream_closed_windows, stream_flagged_windows, stream_kafka_parse,
+                                       stream_late_rows, stream_rows, stream_running, stream_state_lookup, stream_tee,
+                                       stream_text)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -163,31 +170,15 @@ BOTS_SQL = O.bots_cte(AS_OF.isoformat(sep=" "))
 NTZ_BOT_COLS = ['ipAddress', 'CAST("end" AS TIMESTAMP) AS "end"', "CAST(created_at AS TIMESTAMP) AS created_at"]
 
 
-_BOT_TABLES: dict[tuple[int, str], str] = {}
-
-
 def bots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bot table as a stored table: derived from ``events`` once per
-    session and folder, written to the shared folder and read from there
-    (so the size check and the joins scan it instead of re-deriving it)."""
-    key = (id(spark), sf_dir.rstrip("/"))
-    path = _BOT_TABLES.get(key)
-    if path is None or not _readable(spark, path):
-        path = work_dir(spark, "bots")
-        write_bots(bots_as_of(clicks(spark, sf_dir), AS_OF, DAILY, Thresholds()), path)
-        _BOT_TABLES[key] = path
-    pin_utc(spark)
+    """The bot table as a stored table: derived from ``events``, written to the
+    shared folder and read from there (so the size check and the joins scan it
+    instead of deriving it again)."""
+    path = work_dir(spark, "bots")
+    write_bots(bots_as_of(clicks(spark, sf_dir), AS_OF, DAILY, Thresholds()), path)
     return read_bots(spark, path)
 
 
-def _readable(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:
-        return False
-
-
 def ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in cols else F.col(c)
                        for c in df.columns])
@@ -263,6 +254,25 @@ def q_block_list_merge(spark, sf_dir):
     return ntz(read_bots(spark, path), "end", "created_at")
 
 
+COMMITS = (datetime(2024, 1, 12), datetime(2024, 1, 18), datetime(2024, 2, 1))
+
+
+@register("block_list_commits", O.commits_sql(COMMITS))
+def q_block_list_commits(spark, sf_dir):
+    """K1-K3: three detector runs over overlapping spans of events, merged into
+    one commit-logged table. The second run plans its merge before the first
+    commits, loses the race, and merges anew: one row per address, that of the
+    first commit."""
+    events = clicks(spark, sf_dir)
+    path = work_dir(spark, "bots-commits")
+    runs = [one_row_per_ip(flagged_ips(flagged_windows(events.where(F.col("unixTime") < ts_lit(end)), DAILY, Thresholds()))) for end in COMMITS]
+    first, second = CommittedBots(spark, path), CommittedBots(spark, path)
+    second.before_commit = [lambda: first.merge(runs[0], created_at=COMMITS[0])]
+    second.merge(runs[1], created_at=COMMITS[1])
+    second.merge(runs[2], created_at=COMMITS[2])
+    return ntz(second.read(), "end", "created_at")
+
+
 @register("block_list_active", f"""WITH {BOTS_SQL}
 SELECT * FROM bots
 WHERE created_at > TIMESTAMP '{ACTIVE_AS_OF.isoformat(sep=' ')}' - INTERVAL 24 HOUR
@@ -403,6 +413,37 @@ def q_join_derived(spark, sf_dir):
     return R.join_derived(*t(spark, sf_dir, "lineitem", "orders"))
 
 
+@register("join_range", f"""WITH {O.EVENTS_CTE},
+{O.flagged_cte('ev', 'flagged')},
+blocked AS (SELECT ipAddress, window_end AS blocked_from, window_end + INTERVAL 24 HOUR AS blocked_until FROM flagged)
+SELECT ev.unixTime, ev.categoryId, ev.ipAddress, ev.eventType, blocked_from, blocked_until
+FROM ev JOIN blocked ON blocked.ipAddress = ev.ipAddress AND unixTime >= blocked_from AND unixTime < blocked_until""")
+def q_join_range(spark, sf_dir):
+    """J3 with a non-equi condition: events of an address while it is blocked."""
+    events = clicks(spark, sf_dir)
+    blocked = flagged_windows(events, DAILY).select(F.col("ipAddress").alias("blocked_address"), F.col("window.end").alias("blocked_from"),
+                                                    (F.col("window.end") + F.expr("INTERVAL 24 HOURS")).alias("blocked_until"))
+    out = range_join(events, blocked, [("ipAddress", "blocked_address")], "unixTime", "blocked_from", "blocked_until", width_seconds=43_200)
+    return ntz(out.drop("blocked_address"), "unixTime", "blocked_from", "blocked_until")
+
+
+@register("join_renamed", """SELECT a.l_orderkey AS a_l_orderkey, a.l_linenumber AS a_l_linenumber, pa.p_brand AS pa_p_brand,
+       b.l_linenumber AS b_l_linenumber, pb.p_brand AS pb_p_brand, o_orderpriority
+FROM (lineitem a JOIN part pa ON a.l_partkey = pa.p_partkey)
+JOIN (lineitem b JOIN part pb ON b.l_partkey = pb.p_partkey) ON a.l_orderkey = b.l_orderkey AND a.l_linenumber + 1 = b.l_linenumber
+JOIN orders ON o_orderkey = a.l_orderkey""")
+def q_join_renamed(spark, sf_dir):
+    """A tree of joins over tables whose columns clash (each line of an order
+    with the next one and both their parts), renamed by one pass."""
+    lines, parts, orders = t(spark, sf_dir, "lineitem", "part", "orders")
+    lines, parts = lines.select("l_orderkey", "l_linenumber", "l_partkey"), parts.select("p_partkey", "p_brand")
+    side = {k: Join(Table(k, lines), Table(f"p{k}", parts), [((k, "l_partkey"), (f"p{k}", "p_partkey"))]) for k in "ab"}
+    pairs = Join(side["a"], side["b"], [(("a", "l_orderkey"), ("b", "l_orderkey"))],
+                 where=lambda at: at("a", "l_linenumber") + 1 == at("b", "l_linenumber"))
+    tree = Join(pairs, Table("o", orders.select("o_orderkey", "o_orderpriority")), [(("a", "l_orderkey"), ("o", "o_orderkey"))])
+    return join_tree(tree).select("a_l_orderkey", "a_l_linenumber", "pa_p_brand", "b_l_linenumber", "pb_p_brand", "o_orderpriority")
+
+
 @register("join_nested_names", """SELECT sn.n_name AS supp_nation, cn.n_name AS cust_nation,
        CAST(CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(15,2)))) AS DECIMAL(38,4)) AS DOUBLE) AS revenue,
        count(*) AS lines
@@ -495,6 +536,86 @@ def q_stream_block_list(spark, sf_dir):
     return ntz(out, "end", "created_at")
 
 
+@register("stream_block_list_expiry", O.block_list_expiry_sql(5, 240))
+def q_stream_block_list_expiry(spark, sf_dir):
+    """Q2 + K4 as a stream: entries expire after 10 days, an expired address
+    counts and may be listed again. The rows alive after the last round."""
+    pin_utc(spark)
+    events = table(spark, sf_dir, "events")
+    bots = stream_block_list_expiry(spark, events, DAILY, ttl_hours=240)
+    starts = round_starts(events, 5)
+    last = starts[-1] + timedelta(days=5) if starts else None
+    return ntz(bots.read(last, 240), "end", "created_at")
+
+
+@register("stream_late_rows", O.late_rows_sql(5))
+def q_stream_late_rows(spark, sf_dir):
+    """A tenth of the events come one round late and a few two. Per window
+    and address what the aggregate kept and what came after the window closed;
+    together they are all events of the window."""
+    pin_utc(spark)
+    job = stream_late_rows(spark, table(spark, sf_dir, "events"), DAILY, F.expr(O.ARRIVAL_DELAY))
+    kept = flatten_window(job.kept(), ntz=True).select("window_start", "window_end", "ipAddress", F.col("amount").alias("kept"))
+    late = flatten_window(job.late(), ntz=True).groupBy("window_start", "window_end", "ipAddress").agg(F.count("*").alias("late"))
+    both = kept.join(late, ["window_start", "window_end", "ipAddress"], "full")
+    zero = F.lit(0).cast("bigint")
+    return both.select("window_start", "window_end", "ipAddress", F.coalesce("kept", zero).alias("kept"), F.coalesce("late", zero).alias("late"))
+
+
+@register("stream_closed_windows", O.closed_windows_sql("window_start, window_end, ipAddress, amount, rate, categories"))
+def q_stream_closed_windows(spark, sf_dir):
+    """W5 in append mode: each window once, when it closes; open ones are left out."""
+    pin_utc(spark)
+    return flatten_window(stream_closed_windows(spark, table(spark, sf_dir, "events"), DAILY), ntz=True)
+
+
+@register("stream_distinct_categories", O.closed_windows_sql("window_start, window_end, ipAddress, categories"))
+def q_stream_distinct_categories(spark, sf_dir):
+    """W3/A4 with bounded state: deduplication, then a count, in append mode."""
+    pin_utc(spark)
+    return flatten_window(stream_closed_windows(spark, table(spark, sf_dir, "events"), DAILY, run_distinct_categories), ntz=True)
+
+
+@register("stream_corrupt_records", ORACLE["corrupt_records"])
+def q_stream_corrupt_records(spark, sf_dir):
+    """P16/K6 on a stream: the dead letters that the windows' own query leaves."""
+    pin_utc(spark)
+    return stream_tee(spark, table(spark, sf_dir, "events"), DAILY).dead_letters().select("value")
+
+
+@register("stream_row_writer", f"""WITH {O.SECONDS_CTE}, ev AS (SELECT unixTime, ipAddress, categoryId, eventType FROM raw_ev),
+{O.windows_cte('ev')}
+SELECT window_start, window_end, ipAddress, count(unixTime) AS amount FROM win GROUP BY window_start, window_end, ipAddress""")
+def q_stream_row_writer(spark, sf_dir):
+    """Window updates through a per-row writer, staged per partition and epoch."""
+    pin_utc(spark)
+    return ntz(stream_rows(spark, table(spark, sf_dir, "events"), DAILY), "window_start", "window_end")
+
+
+@register("stream_kafka_parse", ORACLE["parse_events_long"])
+def q_stream_kafka_parse(spark, sf_dir):
+    """Q4/S2 on a stream: a third of the records is sent twice; each is parsed once."""
+    pin_utc(spark)
+    return stream_kafka_parse(spark, table(spark, sf_dir, "events"), F.col("event_id") % 3 == 0)
+
+
+@register("stream_running", f"""WITH {O.SECONDS_CTE}, ev AS (SELECT unixTime, categoryId, ipAddress, eventType FROM raw_ev),
+{O.windows_cte('ev')}
+{O.FEATURES_SELECT}""")
+def q_stream_running(spark, sf_dir):
+    """Window updates of a query on a processing-time trigger, fed while it runs."""
+    pin_utc(spark)
+    return flatten_window(stream_running(spark, table(spark, sf_dir, "events"), DAILY), ntz=True)
+
+
+@register("stream_state_lookup", O.state_lookup_sql(24))
+def q_stream_state_lookup(spark, sf_dir):
+    """F2/Q3 against keyed state: addresses listed at the event that crosses a
+    threshold, silent for 24 h from then, and listed again if they cross anew."""
+    pin_utc(spark)
+    return ntz(stream_state_lookup(spark, table(spark, sf_dir, "events"), DAILY, ttl_hours=24), "end", "listed_at")
+
+
 FLAGSHIP = "flagged_after_lookup"
 
 

@@ -169,3 +169,129 @@ SELECT flag.ipAddress,
        TIMESTAMP '1970-01-01' + to_seconds((listed.r + 1) * {step}) AS created_at
 FROM flag JOIN listed ON flag.ipAddress = listed.ipAddress AND flag.r = listed.r
 GROUP BY flag.ipAddress, listed.r"""
+
+
+def commits_sql(ends) -> str:
+    """Runs over the events before each of ``ends``; the first run that flags an
+    address lists it, with the latest end that this run flags."""
+    parts, ctes = [], []
+    for i, end in enumerate(ends):
+        ctes += [events_cte(f"ev{i}", f"ts < TIMESTAMP '{end.isoformat(sep=' ')}'"), flagged_cte(f"ev{i}", f"f{i}")]
+        parts.append(f"""SELECT {i} AS run, ipAddress, max(window_end) AS "end", TIMESTAMP '{end.isoformat(sep=' ')}' AS created_at
+FROM f{i} GROUP BY ipAddress""")
+    return f"""WITH {", ".join(ctes)},
+runs AS ({" UNION ALL ".join(parts)})
+SELECT ipAddress, "end", created_at FROM runs QUALIFY row_number() OVER (PARTITION BY ipAddress ORDER BY run) = 1"""
+
+
+def block_list_expiry_sql(round_days: int, ttl_hours: int) -> str:
+    """The self-feeding block list with expiry, round by round.
+
+    A window touches at most two neighbouring rounds, so its state after round
+    r holds the address's events of round r and, unless they were dropped,
+    of round r - 1 (``with_last``). An entry made at the end of round L is alive at
+    the start of the rounds up to L + ``span``.
+    """
+    step = round_days * 86400
+    span = -(-ttl_hours * 3600 // step)     # rounds that begin while an entry is alive
+    feat = """SELECT ipAddress, window_start, r FROM {rows} GROUP BY ipAddress, window_start, r HAVING max(own) = 1 AND (count(*) > 10
+         OR CAST(count(CASE WHEN eventType = 'click' THEN 1 END) AS DOUBLE) / NULLIF(count(CASE WHEN eventType = 'view' THEN 1 END), 0) > 3
+         OR count(DISTINCT categoryId) > 5)"""
+    return f"""WITH RECURSIVE ev AS (
+  SELECT date_trunc('second', ts) AS unixTime, CAST(floor(epoch(ts) / {step}) AS BIGINT) AS r,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS categoryId,
+         CAST(user_id AS VARCHAR) AS ipAddress, event_type AS eventType
+  FROM events),
+win AS (
+  SELECT time_bucket(INTERVAL '720 minutes', unixTime, TIMESTAMP '1970-01-01') - i * INTERVAL '720 minutes' AS window_start,
+         r, 1 AS own, categoryId, ipAddress, eventType
+  FROM (SELECT *, unnest([0, 1]) AS i FROM ev)),
+twice AS (SELECT * FROM win UNION ALL SELECT window_start, r + 1, 0, categoryId, ipAddress, eventType FROM win),
+alone AS ({feat.format(rows='win')}),
+with_last AS ({feat.format(rows='twice')}),
+flags AS (
+  SELECT ipAddress, r, max(CASE WHEN k = 'both' THEN window_start END) AS both_start, max(CASE WHEN k = 'alone' THEN window_start END) AS alone_start
+  FROM (SELECT 'both' AS k, * FROM with_last UNION ALL SELECT 'alone', * FROM alone) GROUP BY ipAddress, r),
+bounds AS (SELECT min(r) AS lo, max(r) AS hi FROM ev),
+rounds AS (
+  SELECT ipAddress, (SELECT lo FROM bounds) - 1 AS r, CAST(NULL AS BIGINT) AS listed, CAST(NULL AS TIMESTAMP) AS last_start
+  FROM (SELECT DISTINCT ipAddress FROM flags)
+  UNION ALL
+  SELECT x.ipAddress, x.r + 1,
+         CASE WHEN coalesce(x.r + 1 - listed <= {span}, false) THEN listed
+              WHEN coalesce(x.r - listed <= {span} AND x.r <> listed, false) THEN CASE WHEN alone_start IS NOT NULL THEN x.r + 1 ELSE listed END
+              WHEN both_start IS NOT NULL THEN x.r + 1 ELSE listed END,
+         CASE WHEN coalesce(x.r + 1 - listed <= {span}, false) THEN last_start
+              WHEN coalesce(x.r - listed <= {span} AND x.r <> listed, false) THEN CASE WHEN alone_start IS NOT NULL THEN alone_start ELSE last_start END
+              WHEN both_start IS NOT NULL THEN both_start ELSE last_start END
+  FROM rounds x LEFT JOIN flags f ON f.ipAddress = x.ipAddress AND f.r = x.r + 1
+  WHERE x.r < (SELECT hi FROM bounds))
+SELECT ipAddress, last_start + INTERVAL '1 day' AS "end", TIMESTAMP '1970-01-01' + to_seconds((listed + 1) * {step}) AS created_at
+FROM rounds WHERE r = (SELECT hi FROM bounds) AND (r + 1 - (listed + 1)) * {step} < {ttl_hours * 3600}"""
+
+
+SECONDS_CTE = events_cte("raw_ev").replace("SELECT ts AS unixTime", "SELECT date_trunc('second', ts) AS unixTime, event_id, ts")
+
+
+def late_rows_sql(round_days: int, delay_seconds: int = 60) -> str:
+    """Per window and address, events that an update-mode aggregate keeps and
+    events that come after the window was closed. An event arrives in the round
+    of its time, or one or two rounds later; a round drops what lies in windows
+    that end by the watermark of all earlier rounds."""
+    step = round_days * 86400
+    return f"""WITH {SECONDS_CTE},
+ev AS (
+  SELECT *, CAST(floor(epoch(ts) / {step}) AS BIGINT) + {ARRIVAL_DELAY} AS arrival FROM raw_ev),
+marks AS (SELECT arrival, max(unixTime) AS latest FROM ev GROUP BY arrival),
+before AS (
+  SELECT a.arrival, max(b.latest) - INTERVAL '{delay_seconds} seconds' AS watermark
+  FROM marks a LEFT JOIN marks b ON b.arrival < a.arrival GROUP BY a.arrival),
+win AS (
+  SELECT time_bucket(INTERVAL '720 minutes', unixTime, TIMESTAMP '1970-01-01') - i * INTERVAL '720 minutes' AS window_start,
+         ipAddress, arrival FROM (SELECT *, unnest([0, 1]) AS i FROM ev)),
+seen AS (
+  SELECT window_start, window_start + INTERVAL '1440 minutes' AS window_end, ipAddress,
+         coalesce(window_start + INTERVAL '1440 minutes' <= watermark, false) AS late
+  FROM win JOIN before ON before.arrival = win.arrival)
+SELECT window_start, window_end, ipAddress, count(*) FILTER (NOT late) AS kept, count(*) FILTER (late) AS late
+FROM seen GROUP BY window_start, window_end, ipAddress"""
+
+
+# Rounds by which an event comes late (the same in Spark and DuckDB).
+ARRIVAL_DELAY = "CASE WHEN event_id % 97 = 0 THEN 2 WHEN event_id % 10 = 0 THEN 1 ELSE 0 END"
+
+
+def closed_windows_sql(select: str, delay_seconds: int = 60) -> str:
+    """Windows that have closed by the last watermark."""
+    return f"""WITH {SECONDS_CTE}, ev AS (SELECT unixTime, categoryId, ipAddress, eventType FROM raw_ev),
+{windows_cte('ev')},
+feat AS ({FEATURES_SELECT}),
+mark AS (SELECT max(unixTime) - INTERVAL '{delay_seconds} seconds' AS watermark FROM ev)
+SELECT {select} FROM feat, mark WHERE window_end <= watermark"""
+
+
+def state_lookup_sql(ttl_hours: int) -> str:
+    """Listings at the first event that crosses a threshold. A window's crossing
+    time comes from running counts over its events in order; an address is
+    listed at the earliest crossing among windows that begin once its last
+    entry has expired."""
+    order = "ORDER BY unixTime, eventType, categoryId NULLS FIRST ROWS UNBOUNDED PRECEDING"
+    return f"""WITH RECURSIVE {SECONDS_CTE}, ev AS (SELECT unixTime, categoryId, ipAddress, eventType FROM raw_ev),
+{windows_cte('ev')},
+marked AS (
+  SELECT *, categoryId IS NOT NULL AND row_number() OVER (PARTITION BY ipAddress, window_start, categoryId ORDER BY unixTime, eventType) = 1 AS first_seen
+  FROM win),
+running AS (
+  SELECT ipAddress, window_start, unixTime, count(*) OVER w AS amount, count(*) FILTER (eventType = 'click') OVER w AS clicks,
+         count(*) FILTER (eventType = 'view') OVER w AS views, count(*) FILTER (first_seen) OVER w AS categories
+  FROM marked WINDOW w AS (PARTITION BY ipAddress, window_start {order})),
+crossed AS (
+  SELECT ipAddress, window_start, min(unixTime) AS hit FROM running
+  WHERE amount > 10 OR CAST(clicks AS DOUBLE) / NULLIF(views, 0) > 3 OR categories > 5 GROUP BY ipAddress, window_start),
+listed AS (
+  SELECT ipAddress, TIMESTAMP '1900-01-01' AS since, min(hit) AS hit FROM crossed GROUP BY ipAddress
+  UNION ALL
+  SELECT l.ipAddress, l.hit + INTERVAL {ttl_hours} HOUR, min(c.hit) FROM listed l
+  JOIN crossed c ON c.ipAddress = l.ipAddress AND c.window_start >= l.hit + INTERVAL {ttl_hours} HOUR GROUP BY l.ipAddress, l.hit)
+SELECT l.ipAddress, max(c.window_start) + INTERVAL 1 DAY AS "end", l.hit AS listed_at
+FROM listed l JOIN crossed c ON c.ipAddress = l.ipAddress AND c.hit = l.hit AND c.window_start >= l.since GROUP BY l.ipAddress, l.hit"""

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from botsieve.functions.features import flag_predicate
 from botsieve.functions.parse import parse_events, with_event_time
 from botsieve.operators.blocklist import active, antijoin_bots, latest_per_key, merge_into, read_bots
+from botsieve.operators.committed import CommittedBots
 from botsieve.operators.windows import window_features
 from botsieve.params import BLOCK_TTL_HOURS, KAFKA_BOOTSTRAP, KAFKA_TOPIC, Thresholds, WindowSpec
 
@@ -67,6 +68,14 @@ def detect(lines: DataFrame, spec: WindowSpec = WindowSpec(), thresholds: Thresh
     return feats
 
 
+def kafka_events_once(records: DataFrame, horizon: str) -> DataFrame:
+    """Q4: Kafka records -> events (epoch seconds as a long), each record once.
+    Ranges of offsets that come again are dropped by (partition, offset), kept as
+    state until the records' own time is ``horizon`` past."""
+    once = records.withWatermark("timestamp", horizon).dropDuplicatesWithinWatermark(["topic", "partition", "offset"])
+    return parse_events(once, "value", time_type="long")
+
+
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
@@ -176,28 +185,33 @@ def block_list_sink(bots_path: str, created_at: datetime | None = None,
     return sink
 
 
+def committed_sink(bots_path: str, stream: str, created_at: datetime | None = None, as_of: datetime | None = None,
+                   ttl_hours: int = BLOCK_TTL_HOURS, **table) -> Callable[[DataFrame, int], None]:
+    """W6 + K1-K4: each batch as one commit of the commit-logged bot table.
+    ``stream`` names the query, so a replayed batch is recognised."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        CommittedBots(batch.sparkSession, bots_path, **table).merge(
+            batch, created_at=created_at, as_of=as_of, ttl_hours=ttl_hours, batch=(stream, batch_id))
+    return sink
+
+
 class RowWriter:
-    """A per-row writer (``writeStream.foreach``) with open/process/close.
+    """Single puts into an outside store (``writeStream.foreach``).
 
-    ``put`` is called with (key, value) for each row; the default keeps the
-    first value per key in a dict on the executor, the put-if-absent of a
-    key-value cache. Offered for outside stores that only take single puts;
-    the bulk ``block_list_sink`` is the default.
+    ``put`` is called with (key, value) for each row, again if a task is retried,
+    so it must be a put-if-absent or otherwise idempotent. Rows that Spark is to
+    keep go to ``row_writer.StagedRows`` (each exactly once) or, in bulk, to
+    ``block_list_sink`` and ``committed_sink``.
     """
 
-    def __init__(self, key: str = "ipAddress", value: str = "end", put=None):
+    def __init__(self, put: Callable, key: str = "ipAddress", value: str = "end"):
         self.key, self.value, self.put = key, value, put
-        self.store: dict = {}
 
     def open(self, partition_id, epoch_id):
         return True
 
     def process(self, row):
-        k, v = row[self.key], row[self.value]
-        if self.put is not None:
-            self.put(k, v)
-        else:
-            self.store.setdefault(k, v)
+        self.put(row[self.key], row[self.value])
 
     def close(self, error):
         if error:
