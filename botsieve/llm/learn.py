@@ -1,5 +1,7 @@
 """Labels, folds and bounded samples for the classifiers."""
 
+import heapq
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,3 +38,29 @@ def with_labels(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text:
     shuffled by id (ids are near unique, so no task gets a large share)."""
     pairs = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"))
     return pairs.join(F.broadcast(known) if known.count() <= SMALL else known, "id")
+
+
+class Smallest:
+    """Rows of the smallest digests whose sizes sum up to at most ``most`` bytes
+    (one row at least): the same rows in whatever order they come, and never
+    more than that held. A sample of rows is bounded in bytes by it."""
+
+    def __init__(self, most: int):
+        self.most, self.size, self.rows, self.seen = most, 0, [], 0
+        self.limit = -float("inf")     # the smallest digest that had to go, negated
+
+    def add(self, digest: bytes, row, size: int) -> None:
+        key = -int.from_bytes(digest, "big")
+        if key <= self.limit:
+            return
+        self.seen += 1      # tells rows of one digest apart; they are alike
+        heapq.heappush(self.rows, (key, self.seen, size, row))
+        self.size += size
+        while self.size > self.most and len(self.rows) > 1:
+            self.limit, _, gone, _ = heapq.heappop(self.rows)
+            self.size -= gone
+            while len(self.rows) > 1 and self.rows[0][0] == self.limit:    # its copies go with it
+                self.size -= heapq.heappop(self.rows)[2]
+
+    def ordered(self) -> list:
+        return [row for *_, row in sorted(self.rows, key=lambda r: (-r[0], r[1]))]

@@ -11,14 +11,16 @@ feature (at most ``2 * 2**BITS`` rows reach the driver).
 
 *Support vectors.* The indicators are scaled by the ratios, brought to length
 one, and a linear hinge-loss model is fitted by dual coordinate descent on a
-bounded sample (about ``SAMPLE`` rows per class, a documented parameter) in
-one task. Two more fits on the halves of the sample give out-of-sample
+bounded sample (about ``SAMPLE`` rows per class, and at most ``SAMPLE_BYTES`` of
+their features in all; documented parameters) in one task. Two more fits on the halves of the sample give out-of-sample
 margins, by which a logistic curve turns margins into scores from 0 to 1.
 
 A score depends on the text alone. Defined results: null and empty texts have
 no features and get the score of margin = bias; equal texts get equal scores;
 ids with several labels count as bad if one of them is; without both classes
-among the labels every score is 0.5 (nothing can be learned).
+among the labels (as in an empty table) every score is 0.5; a long text is
+read in pieces and scored whole; other columns stay, but for one of the
+result's name, which it replaces.
 """
 
 from zlib import crc32
@@ -31,12 +33,13 @@ from xxhash import xxh64_digest
 
 from .common import batch_udf, fold, slices, table, utf8
 from .grams import Presence
-from .learn import bounded, training_labels, with_labels
+from .learn import Smallest, bounded, training_labels, with_labels
 
 BITS = 16                  # places of byte n-grams, and again of shape n-grams
 ORDERS, SHAPE_ORDERS = (1, 2, 3, 4), (1, 2, 3)
 SMOOTH = 1.0
-SAMPLE = 2000              # rows per class that the hinge-loss model is fitted on
+SAMPLE = 2000              # rows per class that the hinge-loss model is fitted on,
+SAMPLE_BYTES = 256 << 20   # and bytes of their places and values in all
 COST, ROUNDS = 1.0, 30
 FOLDS, HELD, KEEP = 5, 0, 0.3
 BACK = 3                   # words back that a repeated word is looked for
@@ -194,19 +197,21 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
     chosen = bounded(known, "label", sample, F.col("id"), classes)
 
     def learn(batches):
-        features, ratios, found = Features(), shared.value.astype(float), []
+        features, ratios, found = Features(), shared.value.astype(float), Smallest(SAMPLE_BYTES)
         for batch in batches:
             texts, ys = batch.column(0), batch.column(1).to_pylist()
             done = 0
             for run in slices(texts):
                 for data, flags, y in zip(run, features.matrix(run), ys[done:done + len(run)]):
-                    found.append((xxh64_digest(data), 2 * y - 1, scaled(flags, ratios)))
+                    row = scaled(flags, ratios)
+                    # By text, then label: the same rows in the same order at each run.
+                    found.add(xxh64_digest(data) + bytes([y]), (2 * y - 1, row), sum(x.nbytes for x in row))
                 done += len(run)
-        found.sort(key=lambda f: f[:2])   # the same order at each run
-        y = np.array([f[1] for f in found], float)
+        rows = found.ordered()
+        y = np.array([f[0] for f in rows], float)
         if len(np.unique(y)) < 2:
             return
-        w, slope, offset = fit([f[2] for f in found], y, 2 << BITS)
+        w, slope, offset = fit([f[1] for f in rows], y, 2 << BITS)
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()]), pa.array([slope]), pa.array([offset])],
                                          names=["w", "slope", "offset"])
 

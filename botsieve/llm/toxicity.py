@@ -11,8 +11,8 @@ Words are runs of letters and digits in lower case (A-Z). A word counts as
 itself and as its beginnings of ``STEMS`` bytes, so that inflected forms share
 weight; all are hashed to ``2**BITS`` places. A sentence ends at ``.``, ``!``,
 ``?`` or a line break. The model is fitted in one task on a bounded sample of
-labelled rows (about ``SAMPLE`` of each class, a documented parameter), and
-starts from smoothed log-odds of the documents that have a feature. Features
+labelled rows (about ``SAMPLE`` of each class, and at most ``SAMPLE_BYTES`` of
+text in all; documented parameters), and starts from smoothed log-odds of the documents that have a feature. Features
 that are not clearly commoner in toxic documents (chi-square below ``CHI``) keep
 weight zero. A feature counts once in a sentence. Scores are computed for every
 whole text.
@@ -20,21 +20,25 @@ whole text.
 A score depends on the text alone. Defined results: null and empty texts have
 no sentences and score 0; equal texts get equal scores; ids with several
 labels count as toxic if one of them is; without both classes among the
-labels every score is 0 (nothing can be learned).
+labels (as in an empty table) every score is 0; a long text is read in blocks
+and scored whole; other columns stay, but for one of the result's name, which it
+replaces.
 """
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh64_digest
 
 from .common import RUN_BYTES, batch_udf, fold, slices, struct_array, table, utf8
-from .learn import bounded, training_labels, with_labels
+from .learn import Smallest, bounded, training_labels, with_labels
 
 BITS = 17
 NOTHING = 1 << BITS            # the place of a stem that a word is too short for
 STEMS = (4, 5, 6)
-SAMPLE, CHI, PRIOR = 2500, 30.0, 10.0
+SAMPLE, SAMPLE_BYTES = 2500, 64 << 20     # labelled rows per class, and bytes of their texts in all
+CHI, PRIOR = 30.0, 10.0
 START, PULL, RATE, ROUNDS = -6.0, 1e-5, 0.05, 300
 FOLDS, HELD, REJECT, BLAME = 5, 0, 0.5, 0.5
 
@@ -194,9 +198,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     chosen = bounded(known, "label", sample, F.col("id"))
 
     def learn(batches):
-        rows = [(t.as_py() or b"", y) for batch in batches
-                for t, y in zip(batch.column(0), batch.column(1).to_pylist())]
-        rows = sorted(r for r in rows if r[0])     # the same order at each run
+        found = Smallest(SAMPLE_BYTES)
+        for batch in batches:
+            for t, y in zip(batch.column(0), batch.column(1).to_pylist()):
+                if data := t.as_py():
+                    found.add(xxh64_digest(data) + bytes([y]), (data, y), len(data))
+        rows = sorted(found.ordered())     # the same order at each run
         y = np.array([r[1] for r in rows], float)
         if len(np.unique(y)) == 2:
             weights, bias = fit([r[0] for r in rows], y)

@@ -151,3 +151,114 @@ def test_samples_are_bounded_and_stable(spark):
     assert all(850 <= n <= 1150 for n in counts.values()) and len(counts) == 2
     assert sorted(some.collect()) == sorted(bounded(rows.repartition(7), "label", 1000, F.col("id")).collect())
     assert bounded(rows, "label", 10**9, F.col("id")).count() == 30_000
+
+
+def test_samples_are_bounded_in_bytes():
+    """The rows of the smallest digests that fit, whatever their order; never more held."""
+    from botsieve.llm.learn import Smallest
+    rnd = random.Random(3)
+    rows = [(rnd.randbytes(9), rnd.randrange(1, 400)) for _ in range(500)]
+    rows += rows[:50]
+    want, copies = [], {d: [x for x in rows if x[0] == d] for d, _ in rows}
+    for d in sorted(copies):
+        if want and sum(x for _, x in want) + sum(x for _, x in copies[d]) > 5000:
+            break
+        want += copies[d]
+    for _ in range(5):
+        rnd.shuffle(rows)
+        held = Smallest(5000)
+        for d, n in rows:
+            held.add(d, (d, n), n)
+            assert held.size <= 5000 and held.size == sum(r[2] for r in held.rows)
+        assert held.ordered() == want
+    one = Smallest(10)
+    one.add(b"b", "long", 1000)
+    assert one.ordered() == ["long"]
+
+
+def test_long_texts_in_the_sample(spark, tmp_path, monkeypatch):
+    """A few labelled texts of megabytes do not grow the fit, and it still learns."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF001}/labels.parquet")
+    long = docs.join(labels, "doc_id").limit(8).select((F.col("doc_id") + 5000).alias("doc_id"), F.expr("repeat(concat(text, ' '), 400)").alias("text"), "quality", "toxic")
+    folder = save(tmp_path, documents=docs.unionByName(long.select("doc_id", "text")), labels=labels.unionByName(long.select("doc_id", "quality", "toxic")))
+    known = labels_of(spark)
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 8 << 20)
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 600_000)
+    for query, label in ((quality.op2, "quality"), (toxicity.op8, "toxic")):
+        held = [(known[r.doc_id][label], r.predicted) for r in query(spark, folder).collect() if r.held_out and r.doc_id in known]
+        assert np.mean([a == b for a, b in held]) >= 0.85
+
+
+def test_quality_model_against_dense_gradients(spark):
+    """Ratios by counting, weights by full-batch gradient steps on the hinge loss
+    of dense rows: the same margins on a small corpus."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").limit(150)
+    labels = spark.read.parquet(f"{SF001}/labels.parquet")
+    ratios, w, *_ = quality.train(docs, labels)
+    rows = [(r.text.encode(), r.quality) for r in docs.join(labels, "doc_id").collect() if crc(r.doc_id) % 5]
+    x = quality.Features().matrix([t for t, _ in rows])
+    y = np.array([2 * q - 1 for _, q in rows], float)
+    good, bad = 1 + x[y > 0].sum(axis=0), 1 + x[y < 0].sum(axis=0)
+    assert np.allclose(ratios, np.log(good / good.sum()) - np.log(bad / bad.sum()))
+    z = x * ratios
+    z = np.hstack([z / np.linalg.norm(z, axis=1, keepdims=True), np.ones((len(y), 1))])
+    cost = 0.5 / np.where(y > 0, (y > 0).mean(), (y < 0).mean())
+    value = lambda v: 0.5 * v @ v + (cost * np.maximum(0, 1 - y * (z @ v))).sum()
+    v, best = np.zeros(z.shape[1]), np.inf
+    for step in range(1, 4001):
+        v -= (v - z.T @ (cost * y * (y * (z @ v) < 1))) / (10 + step)
+        best = min(best, value(v))
+    assert value(w) <= best * 1.02
+    assert np.corrcoef(z @ w, z @ v)[0, 1] > 0.99
+
+
+def test_toxicity_fit_against_a_grid(monkeypatch):
+    """With one offending word the fit ends where a grid over its weight has the
+    greatest likelihood of the noisy-or."""
+    rnd = random.Random(5)
+    sentence = lambda bad: " ".join(rnd.choice(["calm", "walk", "tree", "lake"]) for _ in range(4)) + (" vile" if bad else "")
+    texts, y = [], []
+    for i in range(160):
+        flags = [rnd.random() < (0.3 if i % 2 else 0) for _ in range(rnd.randrange(1, 5))]
+        texts.append(". ".join(sentence(f) for f in flags).encode())
+        y.append(float(any(flags) if rnd.random() < 0.95 else not any(flags)))
+    y = np.array(y)
+    monkeypatch.setattr(toxicity, "ROUNDS", 1500)
+    weights, bias = toxicity.fit(texts, y)
+    place, *_ = toxicity.word_places([b"vile"])
+    names = np.flatnonzero(weights)
+    assert place[0, 0] in names
+    # A sentence without any chosen word plays no part: its score is zero.
+    sentences = np.array([sum("vile" in part for part in t.decode().split(". ")) for t in texts])
+    weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean())) ** 0.5
+    with_word = sentences > 0
+    assert list(names) == [place[0, 0]]
+
+    def loss(z):
+        miss = np.exp(-sentences * np.logaddexp(0, z))[with_word]
+        return (weight[with_word] * np.where(y[with_word] > 0, -np.log(1 - miss), -np.log(miss))).mean()
+    assert loss(weights[names[0]] + bias) <= min(loss(z) for z in np.arange(-3, 9, 0.01)) + 1e-3
+
+
+def test_language_model_against_dense_ridge(spark, monkeypatch):
+    """Every text a landmark: the Nystroem solution is dense kernel ridge regression."""
+    rnd = random.Random(6)
+    words = {"aa": ["abra", "kada", "bra"], "bb": ["xylo", "phon", "zyx"], "cc": ["mimi", "lolo", "nunu"]}
+    rows = [(i, " ".join(rnd.choice(words[lang]) for _ in range(6)), lang) for i, lang in enumerate(rnd.choice(list(words)) for _ in range(60))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    names, weights = langid.train(docs, landmarks=1000)
+    used = [(t, lang) for i, t, lang in rows if crc(i) % 4 != 2]
+    grams = Presence(langid.ORDERS, langid.BITS)
+    unit = lambda texts: (lambda x: x / langid.length(x))(langid.presence([t.encode() for t in texts], grams)).astype(float)
+    x, y = unit([t for t, _ in used]), np.array([[lang == n for n in names] for _, lang in used], float)
+    marks = unit(sorted({t for t, _ in used}))
+    k, kmm = x @ marks.T, marks @ marks.T
+    values, vectors = np.linalg.eigh(kmm)
+    phi = k @ (vectors / np.sqrt(np.maximum(values, langid.FLOOR))) @ vectors.T
+    ridge = langid.RIDGE * np.trace(phi.T @ phi) / len(marks)
+    dense = phi @ np.linalg.solve(phi.T @ phi + ridge * np.eye(len(marks)), phi.T @ y)
+    assert abs(x @ weights - dense).max() < 1e-2, abs(x @ weights - dense).max()
+    kernel = x @ x.T     # and, in the span of all texts, ridge regression on the full kernel
+    full = kernel @ np.linalg.solve(kernel + ridge * np.eye(len(x)), y)
+    assert abs(x @ weights - full).max() < 5e-2, abs(x @ weights - full).max()
