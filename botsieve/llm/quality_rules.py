@@ -4,7 +4,9 @@
 words in repeated three-word windows. Every text is read once, in its row; no
 text is shuffled. Repeated windows are found by one sort per document: a
 window's hash, shifted to make room for the window's place, is sorted as a
-plain number, and neighbours with equal hashes are confirmed word by word.
+plain number, and neighbours with equal hashes are confirmed word by word. That
+leaves 51 bits of hash or more; above ``LONG`` words, where windows that only
+share those bits might come between, whole hashes are sorted beside the places.
 
 *Thresholds.* Fixed cutoffs are replaced by what is usual in the same language
 and source: quartiles of each metric's ratio come from mergeable quantile
@@ -37,6 +39,7 @@ from .common import SPACE, WORD, table, written
 MIN_WORDS, MAX_REPEAT = 50, 50          # words; percent of words in repeated windows
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 3
+LONG = 4096                             # words; longer texts are sorted by whole hashes
 # Ratio -> smallest distance from the quartile that can fail.
 SLACK = {"symbol_ratio": 0.05, "line_ratio": 0.5, "repeat_ratio": 0.45, "word_length": 3.0}
 FENCE, LEAST = 4.0, 50
@@ -64,24 +67,35 @@ def text_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
     # Bits of the place, windows as numbers: hash above, place below.
     bits = F.ceil(F.log2(F.col("__n") + 1)).cast("int")
     step = step.select(*kept, *made, "__w", "__h", "__n", bits.alias("__b"))
-    places = F.when(F.col("__n") >= WINDOW, F.sequence(F.lit(0), F.col("__n") - WINDOW)).otherwise(F.array().cast("array<int>"))
+    every = F.sequence(F.lit(0), F.col("__n") - WINDOW)
+    none = F.array().cast("array<int>")
+    hashed = lambda i: F.xxhash64(*[F.get("__h", i + k) for k in range(WINDOW)])
     # Never null, so that the sort is one of plain numbers.
-    window = F.transform(places, lambda i: F.coalesce(F.call_function("shiftleft", F.xxhash64(
-        *[F.get("__h", i + k) for k in range(WINDOW)]), F.col("__b")).bitwiseOR(i.cast("bigint")), F.lit(0).cast("bigint")))
-    step = step.select(*kept, *made, "__w", "__n", "__b", F.sort_array(window).alias("__s"))
+    short = F.transform(F.when((F.col("__n") >= WINDOW) & (F.col("__n") <= LONG), every).otherwise(none), lambda i: F.coalesce(
+        F.call_function("shiftleft", hashed(i), F.col("__b")).bitwiseOR(i.cast("bigint")), F.lit(0).cast("bigint")))
+    long = F.transform(F.when((F.col("__n") >= WINDOW) & (F.col("__n") > LONG), every).otherwise(none),
+                       lambda i: F.struct(hashed(i).alias("h"), i.alias("i")))
+    step = step.select(*kept, *made, "__w", "__n", "__b", F.sort_array(short).alias("__s"), F.sort_array(long).alias("__z"))
 
     def place(x: Column) -> Column:
         return x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("__b")) - 1).cast("int")
 
-    def same(x: Column, y: Column) -> Column:
-        near = F.call_function("shiftright", x.bitwiseXOR(y), F.col("__b")) == 0
+    def same(hashes: Column, i: Column, j: Column) -> Column:
         for k in range(WINDOW):
-            near = near & (F.get("__w", place(x) + k) == F.get("__w", place(y) + k))
-        return near
+            hashes = hashes & (F.get("__w", i + k) == F.get("__w", j + k))
+        return F.coalesce(hashes, F.lit(False))
 
-    found = F.filter("__s", lambda x, i: F.coalesce(same(x, F.get("__s", i + 1)), F.lit(False))
-                     | F.coalesce((i > 0) & same(x, F.get("__s", F.greatest(i - 1, F.lit(0)))), F.lit(False)))
-    step = step.select(*kept, *made, "__n", F.sort_array(F.transform(found, place)).alias("__p"))
+    def alike(x: Column, y: Column) -> Column:
+        return same(F.call_function("shiftright", x.bitwiseXOR(y), F.col("__b")) == 0, place(x), place(y))
+
+    def equal(x: Column, y: Column) -> Column:
+        return same(x["h"] == y["h"], x["i"], y["i"])
+
+    def beside(rows: str, test) -> Column:
+        return F.filter(rows, lambda x, i: test(x, F.get(rows, i + 1)) | ((i > 0) & test(x, F.get(rows, F.greatest(i - 1, F.lit(0))))))
+
+    found = F.concat(F.transform(beside("__s", alike), place), F.transform(beside("__z", equal), lambda x: x["i"]))
+    step = step.select(*kept, *made, "__n", F.sort_array(found).alias("__p"))
     gaps = F.zip_with(F.slice("__p", 2, F.size("__p")), F.slice("__p", 1, F.size("__p") - 1),
                       lambda b, a: F.least(F.lit(WINDOW), b - a))
     covered = F.aggregate(gaps, F.lit(WINDOW), lambda s, g: s + g)

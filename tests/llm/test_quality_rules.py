@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from conftest import SF0001
 from llm_cases import edge_docs, edge_rows, no_docs, save
 
@@ -31,7 +32,10 @@ def test_metrics_on_the_table(spark):
         assert not (r.base_failed and r.kept)
 
 
-def test_metrics_of_random_texts(spark):
+@pytest.mark.parametrize("long", [q.LONG, 0, 10])
+def test_metrics_of_random_texts(spark, monkeypatch, long):
+    """Also where all texts, or some, are sorted by whole hashes."""
+    monkeypatch.setattr(q, "LONG", long)
     rnd = random.Random(4)
     texts = ["".join(rnd.choice(["a", "b", "c ", " ", "\n", "\t", "|", "é", "$ ", "\x0b", " ", "aa ", "b a "])
                      for _ in range(rnd.randrange(120))) for _ in range(500)]
