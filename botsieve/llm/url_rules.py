@@ -9,12 +9,13 @@ must have; patterns give the verdict where no site rule fits, else it is
 *Index.* A token is a run of letters a-z and digits. Of a rule's literal
 tokens (only those that are whole tokens in any URL it fits) the one that is
 rarest in the given URLs becomes its key; one counting pass over the URLs
-finds it. URLs are split into tokens, an equi-join on the token fetches
-candidate rules, and regular expressions run on candidates only. Rules without
-a whole token hang on the empty token, which every URL has. The join is a
-broadcast while there are at most ``SMALL`` rules, otherwise a shuffle whose
-skewed tokens Spark splits. What a URL's candidates gave is combined per row,
-first in the task that fetched them.
+finds it. URLs are split into tokens, the tokens fetch candidate rules, and
+regular expressions run on candidates only. Rules without a whole token hang on
+the empty token, which every URL has. Up to ``FEW`` rules the index is a map
+that goes with the plan, so a URL is judged in its row and nothing is shuffled.
+Beyond, tokens and rules are joined, by a broadcast up to ``SMALL`` rules and
+then by a shuffle whose skewed tokens Spark splits; what a URL's candidates gave
+is combined per row, first in the task that fetched them.
 
 Defined results: a null URL, or one without ``://``, has an empty host and
 path and fits no site rule; repeated rows are judged each; ties of equal
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, table
 
-SMALL = 200_000
+FEW, SMALL = 1000, 200_000     # rules in a map; rules that may be broadcast
 DEFAULT = "allow"
 HOST, PATH = "://([^/?#]*)", "://[^/?#]*([^?#]*)"
 TOKEN = "[a-z0-9]+"
@@ -105,6 +106,20 @@ def keyed(urls: DataFrame, rules: list[Rule]) -> DataFrame:
     return ranked.select("r.*")
 
 
+def best_of_map(index: list) -> Column:
+    """The best fitting rule of a row, struct(site, length, rule, verdict), from an
+    index held as a map of tokens."""
+    held: dict[str, list] = {}
+    for r in index:
+        held.setdefault(r.token, []).append(F.struct(*[F.lit(r[c]).alias(c) for c in ("site", "length", "rule", "verdict", "expression")]))
+    rules = F.create_map(*[x for token, rows in held.items() for x in (F.lit(token), F.array(*rows))])
+    known = F.array_intersect(url_tokens("__url"), F.array(*map(F.lit, held)))
+    asked = F.flatten(F.transform(known, lambda t: F.element_at(rules, t)))
+    site, url = F.concat("__host", "__path"), lowered(F.coalesce("__url", F.lit("")))
+    fit = F.filter(asked, lambda r: F.regexp_like(F.when(r["site"], site).otherwise(url), r["expression"]))
+    return F.array_max(F.transform(fit, lambda r: F.struct(r["site"], r["length"], r["rule"], r["verdict"])))
+
+
 def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url: str = "url") -> DataFrame:
     """One row per page: id, host, path, the site rule that fits (or null), the
     pattern that fits (or null; only where no site rule does) and the verdict."""
@@ -113,7 +128,9 @@ def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url: str
     text = F.coalesce("__url", F.lit(""))
     slim = slim.withColumn("__host", lowered(F.regexp_extract(text, HOST, 1))).withColumn("__path", F.regexp_extract(text, PATH, 1))
     keys = ["__row", "__id", "__host", "__path"]
-    if rules:
+    if rules and len(rules) <= FEW:
+        found = slim.select(*keys, best_of_map(keyed(slim, rules).collect()).alias("b"))
+    elif rules:
         index = keyed(slim, rules)
         index = F.broadcast(index) if len(rules) <= SMALL else index
         asked = slim.withColumn("token", F.explode(url_tokens("__url"))).join(index, "token", "left")

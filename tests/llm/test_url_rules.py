@@ -49,7 +49,8 @@ def test_general_rules_and_shuffled_index(spark, monkeypatch):
             "http://bbc.org/de", "http://r/zzz12", "http://q.b+c.org/d(e)"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
     want = [slow(url, rules)[2:] for url in urls]
-    for most in (u.SMALL, 0):
+    for few, most in ((u.FEW, u.SMALL), (0, u.SMALL), (0, 0)):
+        monkeypatch.setattr(u, "FEW", few)
         monkeypatch.setattr(u, "SMALL", most)
         rows = {r.page_id: (r.rule, r.verdict) for r in u.judge(pages, rules).collect()}
         assert [rows[i] for i in range(len(urls))] == want
@@ -60,3 +61,10 @@ def test_rarest_token_is_the_key(spark):
     urls = spark.createDataFrame([("http://x.com/rare/",), ("http://y.com/",), ("http://z.com/",)], "__url string")
     rows = {r.rule: r.token for r in u.keyed(urls, [u.site_rule("com", "/rare/", "block"), u.site_rule("com", "/rare", "allow")]).collect()}
     assert rows == {"com/rare/": "rare", "com/rare": "com"}
+
+
+def test_no_shuffle_of_pages(spark):
+    """With few rules the only exchange is that of counted tokens, before the index is there."""
+    pages = spark.createDataFrame([(i, url) for i, url in enumerate(URLS)], "page_id bigint, url string")
+    plan = u.judge(pages, u.production_rules())._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
