@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from botsieve.session import work_dir
+from botsieve.sources.shared_files import SharedFiles
 
 # Words of the digest contracts: runs without ASCII white space.
 SPACE = r"[\x20\x09-\x0D]"
@@ -29,9 +30,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, name)
     df.write.parquet(path)
+    for made in MADE:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+MADE: list[list[str]] = []
+
+
+def only_result(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``make()`` as a written table. The other tables that were written to make
+    it, its inner cut points, are deleted: nothing reads them once the result is
+    on disk."""
+    made: list[str] = []
+    MADE.append(made)
+    try:
+        result = written(make(), name)
+    finally:
+        MADE.pop()
+    files = SharedFiles(result.sparkSession)
+    for path in made[:-1]:
+        files.delete(path)
+    return result
+
+
 def utf8(col: str | Column) -> Column:
     """A text column as its UTF-8 bytes (null: empty)."""
     col = F.col(col) if isinstance(col, str) else col

@@ -88,3 +88,15 @@ def test_no_benchmark_window_passes_the_pipeline_stage(spark):
     assert all(kept[i] == r.text for i, r in hits.items() if i in kept and i not in long)
     left = decontaminate.contamination(plain, table(spark, SF001, "benchmark")).collect()
     assert not any(b - a >= decontaminate.WINDOW for r in left for a, b in r.hits.spans)
+
+
+def test_a_stage_leaves_only_its_result(spark):
+    """The run's folder holds the stages' tables; cut points inside a stage are gone."""
+    from botsieve.session import shared_root
+    from botsieve.sources.shared_files import SharedFiles
+    files, root = SharedFiles(spark), shared_root(spark)
+    before = set(files.names(root))
+    out = corpus_pipeline.run(spark, SF001)
+    made = sorted(n.rsplit("-", 1)[0] for n in set(files.names(root)) - before)
+    assert made == sorted(f"stage-{n}" for n, _ in corpus_pipeline.STAGES[:-1])
+    assert out.count() > 0
