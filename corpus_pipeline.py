@@ -2,7 +2,8 @@
 
 Every stage works on all that the one before it kept, and is written as
 Parquet in the cluster's shared folder and read back, so a lost executor costs
-at most its part of one stage. All stages but the last return the columns of
+at most its part of one stage; what a stage wrote on the way is deleted once its
+result is there. All stages but the last return the columns of
 their input. Limits are those of the operators' contracts.
 """
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from botsieve.llm import bpe, decontaminate, pii, simhash, toxicity
-from botsieve.llm.common import table, written
+from botsieve.llm.common import only_result, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,5 +58,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = only_result(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
