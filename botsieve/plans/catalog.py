@@ -27,6 +27,7 @@ from botsieve.plans import oracle as O
 from botsieve.plans.detect import bots_as_of, flagged_after_lookup, flagged_windows
 from botsieve.session import pin_utc, work_dir
 from botsieve.sources.events import clicks_from_events, event_lines, kafka_records
+from botsieve.sources.shared_files import SharedFiles
 from botsieve.sources.tables import as_global_view, as_view, table
 from botsieve.streaming.closing import run_distinct_categories
 from botsieve.streaming.rounds import (round_starts, stream_antijoin, stream_block_list, stream_block_list_expiry,
@@ -170,12 +171,23 @@ BOTS_SQL = O.bots_cte(AS_OF.isoformat(sep=" "))
 NTZ_BOT_COLS = ['ipAddress', 'CAST("end" AS TIMESTAMP) AS "end"', "CAST(created_at AS TIMESTAMP) AS created_at"]
 
 
+_BOT_TABLES: dict[tuple, str] = {}
+
+
 def bots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bot table as a stored table: derived from ``events``, written to the
     shared folder and read from there (so the size check and the joins scan it
-    instead of deriving it again)."""
-    path = work_dir(spark, "bots")
-    write_bots(bots_as_of(clicks(spark, sf_dir), AS_OF, DAILY, Thresholds()), path)
+    instead of deriving it again). It is derived anew once the files of
+    ``events`` are others than those it came from, or the table is gone."""
+    files = SharedFiles(spark)
+    events = f"{sf_dir.rstrip('/')}/events.parquet"
+    key = (spark.sparkContext.applicationId, events, *sorted(files.names(events).items()))
+    path = _BOT_TABLES.get(key)
+    if path is None or "_SUCCESS" not in files.names(path):
+        path = work_dir(spark, "bots")
+        write_bots(bots_as_of(clicks(spark, sf_dir), AS_OF, DAILY, Thresholds()), path)
+        _BOT_TABLES[key] = path
+    pin_utc(spark)
     return read_bots(spark, path)
 
 

@@ -107,3 +107,17 @@ def test_cluster_conf_for_100_tb():
     assert conf["spark.sql.shuffle.partitions"] == "40960"  # 10 TB shuffled, 256 MiB a partition
     assert cluster_conf(100 << 40, cores=8000, shuffle_bytes=100 << 40)["spark.sql.shuffle.partitions"] == "50000"
     assert cluster_conf(1 << 20, cores=8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_stored_table_follows_the_events(spark, tmp_path):
+    """The catalog's bot table is kept while the files of ``events`` are the same, and derived anew for others."""
+    import shutil
+    from conftest import SF0001
+    from botsieve.plans import catalog
+    shutil.copy(f"{SF0001}/events.parquet", tmp_path / "events.parquet")
+    first = catalog.bots(spark, str(tmp_path))
+    assert first.inputFiles() == catalog.bots(spark, str(tmp_path)).inputFiles() and first.count() > 0
+    spark.read.parquet(f"{SF0001}/events.parquet").limit(0).write.mode("overwrite").parquet(str(tmp_path / "other"))
+    part = next(p for p in (tmp_path / "other").iterdir() if p.suffix == ".parquet")
+    shutil.copy(part, tmp_path / "events.parquet")
+    assert catalog.bots(spark, str(tmp_path)).count() == 0

@@ -14,7 +14,7 @@ from botsieve.sources.events import clicks_from_events
 from botsieve.sources.tables import table
 from conftest import SF001
 
-STREAMING_KEYS = {"stream_text_source", "stream_flagged_windows", "stream_antijoin_bots", "stream_block_list"}
+STREAMING_KEYS = {key for key in catalog.QUERIES if key.startswith("stream_")}
 
 
 def plan(df, mode="formatted"):
