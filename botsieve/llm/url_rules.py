@@ -37,7 +37,7 @@ HOST, PATH = "://([^/?#]*)", "://[^/?#]*([^?#]*)"
 TOKEN = "[a-z0-9]+"
 
 # The site rules (host, path, verdict) ...
-SITES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "allow"),
+SITES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 # ... and the patterns (name, expression, literal tokens, verdict).
 PATTERNS = (("admin", "/(wp-)?admin/", ("admin",), "block"),

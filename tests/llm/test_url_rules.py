@@ -1,6 +1,7 @@
 import random
 import re
 
+import duckdb
 from llm_cases import save
 
 from botsieve.llm import url_rules as u
@@ -40,6 +41,21 @@ def test_edge_cases_and_brute_force(spark, tmp_path):
     assert u.op6(spark, save(tmp_path / "none", pages=pages.limit(0))).count() == 0
 
 
+def test_verdicts_of_the_contract(spark, tmp_path):
+    """Each site rule's word as the contract lists it, written out here, for the query and its SQL."""
+    want = {"http://a.org/x": ("org/", "allow"), "http://example.org/es/x": ("example.org/es/", "block"),
+            "http://w.example.org/en/12": ("example.org/en/1", "block"), "http://example.org/en/2": ("org/", "allow"),
+            "http://a.com/fr/x": ("com/fr/", "allow"), "http://a.com/de/x": ("com/de/", "block")}
+    pages = spark.createDataFrame(list(enumerate(want)), "page_id bigint, url string")
+    folder = save(tmp_path, pages=pages)
+    got = {r.page_id: (r.rule, r.verdict) for r in u.op6(spark, folder).collect()}
+    assert [got[i] for i in range(len(want))] == list(want.values())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{folder}/pages.parquet/*.parquet')")
+    rows = con.execute(f"SELECT page_id, rule, verdict FROM ({u.OP6_SQL}) ORDER BY page_id").fetchall()
+    assert [tuple(r[1:]) for r in rows] == list(want.values())
+
+
 def test_general_rules_and_shuffled_index(spark, monkeypatch):
     """Hosts without a path, rules without a whole token, regular expression
     signs in rules, and an index too long to be broadcast."""
