@@ -8,6 +8,18 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Sliding windows and late data need exactly-once state; RocksDB keeps
+# large state off the JVM heap. ``transformWithState`` runs on no other store.
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Commit only the change log per batch, snapshot in the background.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # One memory budget for all RocksDB instances of an executor, however many
+    # state partitions it hosts.
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+}
+
 # Settings ``get_session`` puts on the builder (they override spark-defaults
 # for these keys); ``extra`` overrides them. Library functions take any
 # session and do not depend on ``get_session``, only on a UTC session time
@@ -20,15 +32,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Sliding windows and late data need exactly-once state; RocksDB keeps
-    # large state off the JVM heap.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    # Commit only the change log per batch, snapshot in the background.
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # One memory budget for all RocksDB instances of an executor, however many
-    # state partitions it hosts.
-    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    **ROCKSDB,
 }
 
 

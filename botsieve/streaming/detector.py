@@ -82,7 +82,8 @@ NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 def run_available_now(df: DataFrame, checkpoint: str, output_mode: str = "update",
                       batch_fn: Callable[[DataFrame, int], None] | None = None,
                       path: str | None = None, fmt: str = "parquet", query_name: str | None = None,
-                      no_data_batches: bool | None = None, state_partitions: int | None = None) -> None:
+                      no_data_batches: bool | None = None, state_partitions: int | None = None,
+                      state_store: dict[str, str] | None = None) -> None:
     """Start, process everything available, stop (W5, W6, W10 with ``availableNow``).
 
     Either ``batch_fn`` (``foreachBatch``) or a file sink at ``path``.
@@ -92,8 +93,10 @@ def run_available_now(df: DataFrame, checkpoint: str, output_mode: str = "update
     that batch a late row still reaches a window that is already closed.
     ``state_partitions`` sets the shuffle (and state store) partitions of a new
     checkpoint; a restarted query keeps the count in its checkpoint.
+    ``state_store``: settings of the state store, for a query that needs a
+    certain one (default: the session settings).
     """
-    overrides = {}
+    overrides = dict(state_store or {})
     if no_data_batches is not None:
         overrides[NO_DATA_BATCHES] = str(no_data_batches).lower()
     if state_partitions:

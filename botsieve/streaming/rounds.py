@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from botsieve.functions.features import flag_predicate
 from botsieve.functions.parse import parse_events, with_event_time
 from botsieve.params import Thresholds, WindowSpec
-from botsieve.session import work_dir
+from botsieve.session import ROCKSDB, work_dir
 from botsieve.sources.events import event_lines, kafka_records
 from botsieve.operators.blocklist import antijoin_bots, latest_per_key, read_bots
 from botsieve.operators.committed import CommittedBots
@@ -241,7 +241,7 @@ def stream_state_lookup(spark: SparkSession, events: DataFrame, spec: WindowSpec
         stream = listings(with_event_time(parse_events(text_stream(spark, f"{root}/feed"))), spec, thresholds, ttl_hours)
         # Listings come from events only, so no batch is run for the timers alone.
         run_available_now(stream, f"{root}/checkpoint", "append", path=f"{root}/listings", no_data_batches=False,
-                          state_partitions=default_state_partitions(spark))
+                          state_partitions=default_state_partitions(spark), state_store=ROCKSDB)
     return spark.read.parquet(f"{root}/listings") if starts else None
 
 

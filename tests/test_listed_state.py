@@ -3,13 +3,15 @@
 import random
 from datetime import datetime, timedelta
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 from test_streaming import BASE, line, write_file
 
 from botsieve.functions.parse import parse_events, with_event_time
 from botsieve.params import Thresholds, WindowSpec
-from botsieve.streaming.detector import run_available_now, text_stream
+from botsieve.plans import catalog
+from botsieve.streaming.detector import run_available_now, session_conf, text_stream
 from botsieve.streaming.listed_state import listings
 
 SPEC, TTL = WindowSpec(), 0.25      # 10 minutes by 5; entries live 15 minutes
@@ -59,3 +61,20 @@ def test_a_hot_address_leaves_little_state(spark, scratch):
     assert [(r.ipAddress, r.listed_at) for r in got] == [("hot", start)] and got[0].end - start <= timedelta(minutes=10)
     state = spark.read.format("statestore").option("stateVarName", "windows").load(f"{scratch}/ckpt")
     assert {r.key[0] for r in state.select("key").collect()} == {"quiet"}
+
+
+def test_query_on_a_session_with_another_state_store(spark, tmp_path):
+    """The query brings its own state store, equals its SQL, and leaves the session's setting alone."""
+    key, other = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    rng, first = random.Random(5), datetime(2024, 1, 1)
+    rows = [(i, first + timedelta(minutes=rng.randrange(9 * 1440)), rng.choice([1, 1, 1, 2, 3, 4]), rng.choice(["click", "view", "error"]),
+             0.0, rng.choice(['{"k": 1}', '{"k": 2}', None])) for i in range(300)]
+    events = spark.createDataFrame(rows + rows[:20], "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    with session_conf(spark, {key: other}):
+        got = catalog.queries()["stream_state_lookup"](spark, str(tmp_path)).collect()
+        assert spark.conf.get(key) == other
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    want = con.execute(f"SELECT ipAddress, \"end\", listed_at FROM ({catalog.oracle_sql()['stream_state_lookup']})").fetchall()
+    assert sorted((r["ipAddress"], r["end"], r["listed_at"]) for r in got) == sorted(want) and len(want) >= 5
