@@ -239,7 +239,7 @@ def stream_state_lookup(spark: SparkSession, events: DataFrame, spec: WindowSpec
     starts = round_starts(events, round_days)
     for start in starts:
         feed_slice(events, f"{root}/feed", start, start + step, shaped=False)
-        stream = listings(with_event_time(parse_events(text_stream(spark, f"{root}/feed"))), spec, thresholds, ttl_hours)
+        stream = listings(with_event_time(parse_events(text_stream(spark, f"{root}/feed"))), spec, thresholds, ttl_hours, in_order=True)
         # Listings come from events only, so no batch is run for the timers alone.
         run_available_now(stream, f"{root}/checkpoint", "append", path=f"{root}/listings", no_data_batches=False,
                           state_partitions=default_state_partitions(spark), state_store=ROCKSDB)
